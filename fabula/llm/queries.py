@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+from fabula.llm.chunk_dedup import op8_chunk_dedup
+from fabula.llm.ngram_jaccard import op2_ngram_jaccard
 from fabula.llm.suffix_dedup import op5_suffix_dedup
 
-QUERIES = {f.__name__: f for f in (op5_suffix_dedup,)}
+QUERIES = {f.__name__: f for f in (op2_ngram_jaccard, op5_suffix_dedup, op8_chunk_dedup)}
 
 ORACLE_SQL: dict[str, str] = {}
