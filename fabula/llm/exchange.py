@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 #: Text bytes in a bucket; a task holds one bucket and its arrays.
-BUCKET_BYTES = 12 << 20
+BUCKET_BYTES = 6 << 20
 #: A null doc_id counts as larger than every other.
 NULL_ID = (1 << 63) - 1
 KEYS = "digit int, bucket int, n int, low binary, high binary, tag binary"

@@ -196,13 +196,13 @@ def removal(dealt: X.Bucketed, keep_body: bool = False) -> DataFrame:
         seen[w.sent] = X.replies(second) > 0
         c = code[e.of]
         whole = (c == EQUAL_LATER) | (((c == EQUAL_FIRST) | ((c == ALONE) & (e.around[e.of] > 0))) & (rank[a.doc] > e.first[e.of]))
-        mark = np.zeros(len(data) + 1, np.int32)
+        mark = np.zeros(len(data) + 1, np.int16)  # at most 2 * WIDTH ranges overlap
         np.add.at(mark, a.lo[whole], 1)
         np.add.at(mark, a.hi[whole] + WIDTH, -1)
         single = w.at[seen[w.of] | (rank[w.doc] > w.first[w.of])]
         np.add.at(mark, single, 1)
         np.add.at(mark, single + WIDTH, -1)
-        return cut_out(table, data, off, np.cumsum(mark[:-1]) > 0, keep_body)
+        return cut_out(table, data, off, np.cumsum(mark[:-1], dtype=np.int16) > 0, keep_body)
 
     codes = X.ask(dealt, publish_anchors, resolve_anchors)
     seen = dealt.rows.groupBy("bucket").cogroup(codes.groupBy("bucket")).applyInArrow(publish_windows, X.KEYS).groupBy("digit").applyInArrow(late, X.REPLY)
@@ -211,13 +211,13 @@ def removal(dealt: X.Bucketed, keep_body: bool = False) -> DataFrame:
 
 def cut_out(table: pa.Table, data: np.ndarray, off: np.ndarray, gone: np.ndarray, keep_body: bool) -> pa.Table:
     """Rows of OUT from a mask of removed bytes."""
-    total = np.append(0, np.cumsum(gone))
+    total = np.append(0, np.cumsum(gone, dtype=np.int32))
     removed = total[off[1:]] - total[off[:-1]]
     edge = gone.copy()
     edge[1:] &= ~gone[:-1]
     inner = off[:-1][(off[:-1] < len(gone))]
     edge[inner] = gone[inner]  # a run ends with its document
-    count = np.append(0, np.cumsum(edge))
+    count = np.append(0, np.cumsum(edge, dtype=np.int32))
     spans = count[off[1:]] - count[off[:-1]]
     kept, shas, starts, ends = [], [], [], []
     for i in range(len(off) - 1):
