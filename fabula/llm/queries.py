@@ -4,8 +4,11 @@ from __future__ import annotations
 
 from fabula.llm.chunk_dedup import op8_chunk_dedup
 from fabula.llm.ngram_jaccard import op2_ngram_jaccard
+from fabula.llm.quality import op1_quality
 from fabula.llm.suffix_dedup import op5_suffix_dedup
+from fabula.llm.toxicity import op4_toxicity
+from fabula.llm.trie_bpe import op6_trie_bpe
 
-QUERIES = {f.__name__: f for f in (op2_ngram_jaccard, op5_suffix_dedup, op8_chunk_dedup)}
+QUERIES = {f.__name__: f for f in (op1_quality, op2_ngram_jaccard, op4_toxicity, op5_suffix_dedup, op6_trie_bpe, op8_chunk_dedup)}
 
 ORACLE_SQL: dict[str, str] = {}
