@@ -109,6 +109,15 @@ def mixed(docs: DataFrame, entropy: float = ENTROPY, repeats: float = REPEATS, b
     return rows.select("doc_id", "source", "epoch", "n_tokens", block.alias("block"), *carry)
 
 
+def remixed(docs: DataFrame, entropy: float = ENTROPY, repeats: float = REPEATS) -> DataFrame:
+    """docs with all its columns, each row as often as the budget reads it."""
+    names = {f"c{k}": c for k, c in enumerate(docs.columns) if c not in ("doc_id", "source")}
+    plain = docs.select("doc_id", "source", *[F.col(c).alias(k) for k, c in names.items()], F.col("text"))
+    out = mixed(plain, entropy, repeats, carry=tuple(names))
+    back = {c: k for k, c in names.items()}
+    return out.select([F.col(back.get(c, c)).alias(c) for c in docs.columns])
+
+
 def op7_temperature_mixing(spark, sf_dir: str) -> DataFrame:
     return mixed(spark.read.parquet(f"{sf_dir}/documents.parquet"))
 
