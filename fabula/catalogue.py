@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from fabula.plans import rates
+from fabula.plans import classes, rates, texts  # noqa: F401  each registers its queries
+from fabula.registry import ORACLE_SQL, QUERIES
 
-QUERIES = {**rates.QUERIES}
-ORACLE_SQL = {**rates.ORACLE_SQL}
+__all__ = ["ORACLE_SQL", "QUERIES"]

@@ -8,7 +8,67 @@ from pyspark.sql import functions as F
 #: A word: letters and digits, joined by apostrophes or hyphens. Spelt without \\w, which differs between engines.
 WORD = r"[\p{L}\p{N}]+(?:['’\-][\p{L}\p{N}]+)*"
 
+# Words after whose full stop a sentence goes on.
+ABBREVIATIONS = ("Dr.", "Mr.", "Mrs.", "Ms.", "Lt.", "Sgt.", "Capt.", "Col.", "Gen.", "St.", "Jr.", "Sr.", "vs.", "No.")
+# Whole headings that are not plot, words that are not plot, and the pattern of plot headings.
+NONPLOT_HEADINGS = ("future", "legacy", "characters", "format", "style", "impact")
+NONPLOT_WORDS = ("production", "casting", "cast", "music", "broadcast", "ratings", "reception", "awards", "release", "trivia", "references", "notes")
+PLOT_HEADING = r"\b(plot|synopsis|summary|story|storyline|premise|arc|saga)\b|\b(season|series|part|book|volume|chapter)\s+([0-9]+|[ivxlc]+)\b|^(season|series|part|book|volume|chapter|act)\b"
+
 
 def word_count(text: Column) -> Column:
     """Words of a text; null counts as none."""
     return F.coalesce(F.regexp_count(text, F.lit(WORD)), F.lit(0)).cast("long")
+
+
+def sha256(text: Column) -> Column:
+    """Hex digest of the UTF-8 bytes."""
+    return F.sha2(text.cast("binary"), 256)
+
+
+def token_estimate(text: Column, chars_per_token: float) -> Column:
+    """Tokens of a text from its code points, rounded up: 3.5 characters a token in prose, 2 in schema JSON."""
+    return F.ceil(F.length(text) / F.lit(chars_per_token)).cast("long")
+
+
+def heading(line: Column) -> Column:
+    """A heading without tags, in lower case, white space squeezed, without a closing colon or full stop."""
+    bare = F.trim(F.regexp_replace(F.regexp_replace(line, "<[^>]*>", ""), r"\s+", " "))
+    return F.regexp_replace(F.lower(bare), r"[:.]+$", "")
+
+
+def heading_class(h: Column) -> Column:
+    """What a normalised heading is: a whole non-plot heading, a plot heading, or one with a non-plot word; else open."""
+    words = "|".join(sorted(NONPLOT_WORDS, key=lambda w: (-len(w), w)))
+    word = F.regexp_extract(h, rf"\b({words})\b", 1)
+    return F.when(h.isin(*NONPLOT_HEADINGS), F.concat(F.lit("nonplot:"), h)).when(h.rlike(PLOT_HEADING), "plot").when(word != "", F.concat(F.lit("nonplot:"), word)).otherwise("open")
+
+
+def nonplot_share(text: Column, cues: str, separator: str = "\n\n") -> Column:
+    """Share of words in paragraphs with at least two cues and 2.5 of them per 100 words; 0 without words."""
+
+    def add(s: Column, p: Column) -> Column:
+        n, hits = word_count(p), F.regexp_count(p, F.lit(cues))
+        return F.struct((s["words"] + n).alias("words"), (s["flagged"] + F.when((hits >= 2) & (hits * 100 >= n * 2.5), n).otherwise(0)).alias("flagged"))
+
+    zero = F.struct(F.lit(0).cast("long").alias("words"), F.lit(0).cast("long").alias("flagged"))
+    return F.aggregate(F.split(text, separator), zero, add, lambda s: F.when(s["words"] > 0, s["flagged"] / s["words"]).otherwise(0.0))
+
+
+def sentences(paragraph: Column) -> Column:
+    """Sentences: a full stop, exclamation or question mark, then white space; not after an abbreviation or a single initial."""
+    guard = "|".join(a.replace(".", r"\.") for a in ABBREVIATIONS)
+    kept = F.regexp_replace(paragraph, rf"(^|\s)({guard}|[A-Z]\.)(\s)", "$1$2\u0001")
+    parts = F.split(F.regexp_replace(kept, r"([.!?][\"”’)]?)\s+", "$1\u0002"), "\u0002")
+    return F.filter(F.transform(parts, lambda s: F.trim(F.translate(s, "\u0001", " "))), lambda s: s != "")
+
+
+def suffix_number(title: Column, pattern: str) -> Column:
+    """The number that the pattern's first group finds in a title, or null."""
+    return F.regexp_extract(title, pattern, 1).try_cast("int")
+
+
+def shortened(text: Column, most: int) -> Column:
+    """A text cut at a blank so that it has at most so many characters, with an ellipsis if cut."""
+    head = F.regexp_replace(F.substring(text, 1, most + 1), r"\s+\S*\z", "")
+    return F.when(F.length(text) <= most, text).otherwise(F.concat(head, F.lit("…")))
