@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from fabula.plans import classes, ordered, rates, selection, texts  # noqa: F401  each registers its queries
+from fabula.plans import classes, joins, ordered, rates, selection, texts  # noqa: F401  each registers its queries
 from fabula.registry import ORACLE_SQL, QUERIES
 
 __all__ = ["ORACLE_SQL", "QUERIES"]
