@@ -1,0 +1,99 @@
+from __future__ import annotations
+
+import random
+import re
+
+import pytest
+from pyspark.sql import functions as F
+
+from fabula.functions import arc, classify, gates, intervals, markup
+from fabula.functions import text as T
+
+
+def one(spark, column, **values):
+    return spark.createDataFrame([tuple(values.values())], ", ".join(f"{k} {'array<double>' if isinstance(v, list) and v and isinstance(v[0], float) else 'array<bigint>' if isinstance(v, list) else 'string'}" for k, v in values.items())).select(column).first()[0]
+
+
+@pytest.mark.parametrize("text, n", [("", 0), (None, 0), ("don't stop", 2), ("well-known 1990s", 2), ("a_b", 2), ("’tis", 1)])
+def test_word_count(spark, text, n):
+    assert one(spark, T.word_count(F.col("t")), t=text) == n
+
+
+@pytest.mark.parametrize("heading, kind", [("plot", "plot"), ("season 5: revival", "plot"), ("cast and crew", "nonplot:cast"), ("legacy", "nonplot:legacy"), ("life", "open")])
+def test_heading_class(spark, heading, kind):
+    assert one(spark, T.heading_class(F.col("h")), h=heading) == kind
+
+
+def test_sentences_keep_abbreviations_together(spark):
+    assert one(spark, T.sentences(F.col("p")), p="Dr. Lee left. J. Doe stayed! Why? ") == ["Dr. Lee left.", "J. Doe stayed!", "Why?"]
+
+
+def moves(points, threshold):
+    """The same rule as a plain loop."""
+    legs, lo, hi, ext = "", points[0], points[0], points[0]
+    for p in points[1:]:
+        if not legs:
+            lo, hi = min(lo, p), max(hi, p)
+            if round(p - lo, 6) >= round(threshold, 6):
+                legs, ext = "u", p
+            elif round(hi - p, 6) >= round(threshold, 6):
+                legs, ext = "d", p
+        elif legs[-1] == "u":
+            if p > ext:
+                ext = p
+            elif round(ext - p, 6) >= round(threshold, 6):
+                legs, ext = legs + "d", p
+        elif p < ext:
+            ext = p
+        elif round(p - ext, 6) >= round(threshold, 6):
+            legs, ext = legs + "u", p
+    return legs
+
+
+def test_moves_equal_a_loop(spark):
+    rng = random.Random(7)
+    rows = [([round(rng.uniform(-1, 1), 1) for _ in range(11)],) for _ in range(1500)]
+    got = spark.createDataFrame(rows, "p array<double>").select("p", arc.moves(F.col("p"), F.lit(3)).alias("m")).collect()
+    assert all(r.m == moves(r.p, 0.3) for r in got)
+
+
+@pytest.mark.parametrize("points, label, fallback", [([0.0] * 11, "riches_to_rags", True), ([-0.5 + 0.1 * k for k in range(11)], "rags_to_riches", False), ([0.5, 0.2, -0.2, -0.5, -0.5, -0.4, -0.1, 0.2, 0.4, 0.5, 0.5], "man_in_a_hole", False)])
+def test_derive(spark, points, label, fallback):
+    a = one(spark, arc.derive(F.col("p")), p=points)
+    assert (a.label, a.fallback) == (label, fallback)
+
+
+@pytest.mark.parametrize("numbers, text", [([3], "season 3"), ([1, 2, 4], "seasons 1–2 and 4"), ([1, 3, 5, 6], "seasons 1, 3 and 5–6")])
+def test_listed(spark, numbers, text):
+    assert one(spark, intervals.listed(F.col("n"), "season"), n=numbers) == text
+
+
+@pytest.mark.parametrize("stamp, ok", [("2024-02-29T00:00:00Z", True), ("2023-02-29T00:00:00Z", False), ("2024-01-01 00:00:00Z", False), ("2024-01-01T00:00:00", False), (None, False)])
+def test_rfc3339(spark, stamp, ok):
+    assert one(spark, gates.is_rfc3339(F.col("s")), s=stamp) is ok
+
+
+@pytest.mark.parametrize("value, n", [("7", 7), ("7.5", None), ("0", None), ("101", None), ("x", None), (None, None)])
+def test_season_count(spark, value, n):
+    assert one(spark, classify.season_count(F.col("v")), v=value) == n
+
+
+def test_versions_compare_by_part(spark):
+    assert one(spark, classify.version(F.col("a")) < classify.version(F.col("b")), a="1.5.10", b="1.10.0")
+
+
+def test_plain_text_of_markup():
+    html = "<p>One <b>two</b><sup>[1]</sup> , three.<br>Four</p><table><tr><td>no</td></tr></table><div class='hatnote'>no</div><p>Five [citation needed]"
+    assert markup.plain(html) == "One two, three. Four\n\nFive"
+
+
+def test_sections_rejoin():
+    html = "lead<h2>Plot</h2><p>a</p><h3>Cast</h3>b<h2>Cast</h2>c"
+    parts = markup.sections(html)
+    assert "".join(p[2] for p in parts) == html and [p[3] for p in parts] == [-1, 0, 1, 0]
+    text, _, ok, _, dropped = markup.kept_sections(html, re.compile("cast"))
+    assert text == "lead\n\na" and ok and dropped == ["Cast", "Cast"]
+
+
+def test_title_forms(spark):
+    assert spark.createDataFrame([("Ünder & Över: 2×4",)], "t string").select(markup.normalize_title("t")).first()[0] == "under and over 2x4"
