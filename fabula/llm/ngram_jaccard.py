@@ -160,7 +160,7 @@ def survivors(dealt: X.Bucketed) -> DataFrame:
             first[rows[r]] = key[o[pick]].tobytes() + place[pick].astype(np.uint32).tobytes()
         every = range(len(b.ids))
         return pa.table({
-            "doc_id": table.column("doc_id"), "n": pa.array(b.n, pa.int32()), "h1": pa.array(b.h1.view(np.int64)), "h2": pa.array(b.h2.view(np.int64)),
+            "doc_id": pa.array(b.ids), "n": pa.array(b.n, pa.int32()), "h1": pa.array(b.h1.view(np.int64)), "h2": pa.array(b.h2.view(np.int64)),
             "shared": pa.array([shared.get(r) for r in every], pa.binary()), "first": pa.array([first.get(r) for r in every], pa.binary()),
         })
 
@@ -311,9 +311,10 @@ def jaccard_components(docs: DataFrame, bucket_bytes: int = X.BUCKET_BYTES, fami
     sets = light.where("n > 0").groupBy("h1", "h2", "n").agg(F.min("doc_id").alias("set_id"))
     sets = sets.join(found.where("id <> root").select(F.col("id").alias("set_id"), "root"), "set_id", "left")
     out = light.join(sets, ["h1", "h2", "n"], "left")
+    known = F.col("doc_id") != X.NULL_ID
     return out.select(
-        "doc_id", F.col("n").cast("long").alias("n_shingles"),
-        F.when(F.col("doc_id").isNotNull(), F.coalesce("root", "set_id", "doc_id")).alias("component_id"), F.coalesce("set_id", "doc_id").alias("set_id"),
+        F.when(known, F.col("doc_id")).alias("doc_id"), F.col("n").cast("long").alias("n_shingles"),
+        F.when(known, F.coalesce("root", "set_id", "doc_id")).alias("component_id"), F.when(known, F.coalesce("set_id", "doc_id")).alias("set_id"),
     )
 
 
