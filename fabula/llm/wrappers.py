@@ -4,7 +4,7 @@ A page is a stream of tags and texts. The streams of at most SAMPLE_PAGES pages
 first by a hash of page_id) are aligned one after another: neighbouring equal groups become a
 repeated group, a mismatch that one side lacks becomes an optional group, and texts become
 slots. The result, the host's wrapper, has no unions. Its slots are then told apart: template
-text that is the same on all pages while others change, slots in menus, headers, footers,
+text outside the main region that is the same on all pages while others change, slots in menus, headers, footers,
 sidebars, adverts, notices, forms and comments, and slots outside the main region (an article
 or main element, else the element with the most text in few links) are not content.
 
@@ -207,6 +207,8 @@ def infer(pages: list[str]) -> tuple[list[tuple], dict[str, bool]]:
     content = {p: not ruled(p)[0] for p in paths}
     if len(distinct) > 2:
         for p in paths:
+            if ruled(p)[1]:
+                continue  # copies of one article are no template
             values = [tuple(t[p]) for t in distinct.values() if p in t]
             if len(values) > 2 and len(set(values)) == 1:
                 content[p] = False  # template text
