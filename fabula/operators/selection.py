@@ -19,7 +19,7 @@ def quota_pick(items: DataFrame, quotas: DataFrame, cell: str = "cell", genre: s
     picks its genre has plus its place among the genre's items left."""
     rank = [F.desc(fame), F.col(key)]
     by_cell = Window.partitionBy(cell)
-    x = items.join(F.broadcast(quotas), cell)  # a row per cell
+    x = items.join(quotas, cell)
     # every phase takes at most 2 * quota of a cell's genre: more can't matter
     x = x.withColumn("_g", F.row_number().over(Window.partitionBy(cell, genre, must).orderBy(*rank))).where(F.col("_g") <= F.col("quota") * 2 + 1).drop("_g")
     x = x.withColumn("_m", F.when(F.col(must), F.row_number().over(Window.partitionBy(cell, must).orderBy(*rank))))
@@ -49,11 +49,11 @@ def round_robin(items: DataFrame, bucket: str, order: list, bucket_order: Column
 
 def effective(items: DataFrame, slots: DataFrame, bucket: str, order: list) -> DataFrame:
     """By bucket the first ok rows, as many as it has slots."""
-    ok = items.where("ok").join(F.broadcast(slots), bucket)
+    ok = items.where("ok").join(slots, bucket)
     return ok.withColumn("place", F.row_number().over(Window.partitionBy(bucket).orderBy(*order))).where(F.col("place") <= F.col("slots"))
 
 
 def backfill(items: DataFrame, slots: DataFrame, bucket: str, order: list) -> DataFrame:
     """Reserves that are tried: those before which fewer ok rows stand than there are slots."""
     before = F.coalesce(F.sum(F.col("ok").cast("int")).over(Window.partitionBy(bucket).orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
-    return items.join(F.broadcast(slots), bucket).withColumn("ok_before", before).where(F.col("ok_before") < F.col("slots"))
+    return items.join(slots, bucket).withColumn("ok_before", before).where(F.col("ok_before") < F.col("slots"))
