@@ -57,22 +57,39 @@ def primary_language(languages: Column, named: Sequence[str], in_world: Column)
     return F.when(in_world, F.coalesce(other, F.get(languages, F.lit(0)))).otherwise(F.get(languages, F.lit(0)))
 
 
-# Rules of remarks in an episode summary, in order: name and pattern on a sentence.
+# Rules of remarks in an episode summary, in order, as name and pattern on a sentence.
 REMARKS = (
-    ("note", r"^(?:Note|Notes|NOTE)\b"), ("montage_music", r"^(?:The )?[Mm]ontage\b.*\b(?:song|music)\b"), ("timeline", r"^This episode (?:takes place|is set)\b"), ("music", r"^(?:Music|Songs?|Featured music)\b"),
-    ("guest_star", r"^(?:Special )?[Gg]uest (?:star|stars|appearance)\b"),
-)
-#: Rules on a sentence without its parentheses.
-BARE = (
-    ("award", r"\b(?:Emmy|Golden Globe|BAFTA|Hugo)\b.*\b(?:won|win|wins|nominated|nomination|award)\b|\b(?:won|nominated)\b.*\b(?:Emmy|Golden Globe|BAFTA|Hugo)\b"), ("first_appearance", r"\b(?:first|final|last) appearance of\b"),
-    ("small_role", r"^[A-Z]\w+ [A-Z]\w+ (?:has|plays|played) a (?:small|minor|cameo)\b"), ("also_appears", r"^(?:[A-Z][\w.'-]+(?:,? (?:and )?)?){2,} also appears?\b"),
+    ("note", r"(?i)^notes?\s*(?::|\s[–—-]\s)"), ("montage_music", r"(?i)^montage music\s*:"), ("timeline", r"(?i)^timeline\s*:"), ("music", r"(?i)^music\s*:"),
+    ("guest_star", r"^(?:[Ss]pecial )?[Gg]uest[- ][Ss]tar(?:s|ring)?\b\s*(?::|include\b|(?=[A-Z]))"),
 )
+# Patterns on a sentence without its parentheses: award bodies and words, first appearances, small roles, names before a verb, a name word.
+AWARD_BODY = r"\b(?:Emmy Awards?|(?:Primetime|Daytime) Emmy|Emmy-nominated|Golden Globe|Peabody|BAFTA|(?:Writers|Directors) Guild|TV Guide|ACE Eddie)\b"
+AWARD_WORD = r"(?i)\b(?:award|nominat\w*|won|ranked|ranking|list)\b"
+FIRST = r"(?i)\bfirst appearance\b|\bfirst episode (?:to|without|with|in which)\b|\bmakes? (?:his|her|their) first appearance\b"
+SMALL_ROLE = r"^[A-Z][\w'’.-]*(?: [A-Z][\w'’.-]*)+(?:,[^.]*?)?\s+has an? (?:small|minor|brief|cameo) role as\b"
+ALSO_APPEARS, GUEST_STARS = r"^(.+?)\s+also appears?\b(.*)$", r"^(.+?)\s+guest[- ]stars?\b(.*)$"
+NAME = r"^(?:[A-Z][\w'’.-]*|and|de|van|von|da|du|le|la)$"
+
+
+def names_only(names: Column) -> Column:
+    """A list of capitalised names, two words at least, and nothing else."""
+    words = F.filter(F.split(F.replace(names, F.lit(","), F.lit(" ")), r"\s+"), lambda w: w != "")
+    return (F.size(F.filter(words, lambda w: w != "and")) >= 2) & F.get(words, F.lit(0)).rlike("^[A-Z]") & F.forall(words, lambda w: w.rlike(NAME))
+
+
+def _names_before(bare: Column, pattern: str, role: str) -> Column:
+    rest = F.regexp_replace(F.regexp_extract(bare, pattern, 2), r"^[ .]+|[ .]+$", "")
+    return bare.rlike(pattern) & names_only(F.regexp_extract(bare, pattern, 1)) & ((rest == "") | rest.rlike(role))
 
 
 def trivia_rule(sentence: Column) -> Column:
     """The first rule that makes a sentence a remark, or null: it is part of the plot."""
-    bare = F.trim(F.regexp_replace(F.regexp_replace(sentence, r"\([^)]*\)", " "), r"\s+", " "))
-    return F.coalesce(*[F.when(sentence.rlike(p), n) for n, p in REMARKS], *[F.when(bare.rlike(p), n) for n, p in BARE])
+    bare = F.trim(F.regexp_replace(F.regexp_replace(sentence, r"\([^()]*\)", " "), r"\s+", " "))
+    late = [
+        ("award", bare.rlike(AWARD_BODY) & bare.rlike(AWARD_WORD)), ("first_appearance", bare.rlike(FIRST)), ("small_role", bare.rlike(SMALL_ROLE)),
+        ("also_appears", _names_before(bare, ALSO_APPEARS, "^as ")), ("guest_star", _names_before(bare, GUEST_STARS, "^as [A-Z]")),
+    ]
+    return F.coalesce(*[F.when(sentence.rlike(p), n) for n, p in REMARKS], *[F.when(hit, n) for n, hit in late])
 
 
 def split_trivia(sentences: Column) -> Column:

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 WORD = r"[\p{L}\p{N}]+(?:['’\-][\p{L}\p{N}]+)*"
 
 # Words after whose full stop a sentence goes on.
-ABBREVIATIONS = ("Dr.", "Mr.", "Mrs.", "Ms.", "Lt.", "Sgt.", "Capt.", "Col.", "Gen.", "St.", "Jr.", "Sr.", "vs.", "No.")
+ABBREVIATIONS = ("Dr.", "Mr.", "Mrs.", "Ms.", "Lt.", "Capt.", "Sgt.", "Col.", "Maj.", "Gen.", "St.", "Jr.", "Sr.", "Prof.", "Rev.", "No.", "Cpl.", "Pvt.", "Adm.", "Cmdr.", "Det.", "Insp.", "Supt.")
 # Whole headings that are not plot, words that are not plot, and the pattern of plot headings.
 NONPLOT_HEADINGS = ("future", "legacy", "characters", "format", "style", "impact")
 NONPLOT_WORDS = ("production", "casting", "cast", "music", "broadcast", "ratings", "reception", "awards", "release", "trivia", "references", "notes")
@@ -55,12 +55,16 @@ def nonplot_share(text: Column, cues: str, separator: str = "\n\n") -> Column:
     return F.aggregate(F.split(text, separator), zero, add, lambda s: F.when(s["words"] > 0, s["flagged"] / s["words"]).otherwise(0.0))
 
 
+#: A dot that ends no sentence, after an abbreviation or an initial; and the end of one.
+GUARDED = r"(^|[^\p{L}\p{N}])(" + "|".join(a[:-1] for a in ABBREVIATIONS) + r"|[A-Z])\."
+SENTENCE_END = r"([.!?])\s+([A-Z\"“‘(])"
+
+
 def sentences(paragraph: Column) -> Column:
-    """Sentences: a full stop, exclamation or question mark, then white space; not after an abbreviation or a single initial."""
-    guard = "|".join(a.replace(".", r"\.") for a in ABBREVIATIONS)
-    kept = F.regexp_replace(paragraph, rf"(^|\s)({guard}|[A-Z]\.)(\s)", "$1$2\u0001")
-    parts = F.split(F.regexp_replace(kept, r"([.!?][\"”’)]?)\s+", "$1\u0002"), "\u0002")
-    return F.filter(F.transform(parts, lambda s: F.trim(F.translate(s, "\u0001", " "))), lambda s: s != "")
+    """Sentences: a full stop, exclamation or question mark, then white space and a capital, quote or bracket; not after an abbreviation or an initial."""
+    kept = F.regexp_replace(paragraph, GUARDED, "$1$2\u0001")
+    parts = F.split(F.regexp_replace(kept, SENTENCE_END, "$1\u0002$2"), "\u0002")
+    return F.filter(F.transform(parts, lambda s: F.trim(F.translate(s, "\u0001", "."))), lambda s: s != "")
 
 
 def suffix_number(title: Column, pattern: str) -> Column:

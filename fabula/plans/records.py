@@ -51,14 +51,16 @@ def source_ladder(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 _SENTENCES = [
-    (1, "Anna leaves. Note: the episode was filmed in May."), (2, "This episode takes place in 1999. Bob waits."), (3, "The Hugo jury won over Carol. Dan nominated for an Emmy."), (4, "Guest star Eve. Fin."),
-    (5, "Gil Hart (in his first appearance of note) runs."), (6, "Music by Ida. Jo ends it."), (7, "Kim and Lee also appear."), (8, "Max has a plan. Ned Orr has a small role."), (9, "Nothing here."),
+    (1, "Anna leaves. Note: the episode was filmed in May."), (2, "Timeline: this is set in 1999. Bob waits."), (3, "Carol stays. The show won a BAFTA award. Dan sings."), (4, "Guest star Eve Foe. Fin."),
+    (5, "Gil Hart (in his first appearance of note) runs."), (6, "Music: a theme by Ida. Jo ends it."), (7, "Kim Day and Lee Fox also appear."), (8, "Max has a plan. Ned Orr has a small role as a guard."), (9, "A comedian guest stars as an annoying salesman."),
+    (10, "Toby Jones guest stars as Captain Bell."), (11, "Dr. Fay and J. R. Doe makes her first appearance here."),
 ]
 
 
 @query("""
-    SELECT * FROM (VALUES (1, 1, 'note', 'Note: the episode was filmed in May.'), (2, 0, 'timeline', 'This episode takes place in 1999. Bob waits.'), (3, 0, 'award', 'The Hugo jury won over Carol. Dan nominated for an Emmy.'),
-        (4, 0, 'guest_star', 'Guest star Eve. Fin.'), (5, 1, NULL, NULL), (6, 0, 'music', 'Music by Ida. Jo ends it.'), (7, 0, 'also_appears', 'Kim and Lee also appear.'), (8, 1, 'small_role', 'Ned Orr has a small role.'), (9, 1, NULL, NULL)) AS t(id, plot, rule, remark)""")
+    SELECT * FROM (VALUES (1, 1, 'note', 'Note: the episode was filmed in May.'), (2, 0, 'timeline', 'Timeline: this is set in 1999. Bob waits.'), (3, 1, 'award', 'The show won a BAFTA award. Dan sings.'),
+        (4, 0, 'guest_star', 'Guest star Eve Foe. Fin.'), (5, 1, NULL, NULL), (6, 0, 'music', 'Music: a theme by Ida. Jo ends it.'), (7, 0, 'also_appears', 'Kim Day and Lee Fox also appear.'), (8, 1, 'small_role', 'Ned Orr has a small role as a guard.'),
+        (9, 1, NULL, NULL), (10, 0, 'guest_star', 'Toby Jones guest stars as Captain Bell.'), (11, 0, 'first_appearance', 'Dr. Fay and J. R. Doe makes her first appearance here.')) AS t(id, plot, rule, remark)""")
 def trivia_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     from fabula.functions.text import sentences
 

@@ -53,13 +53,10 @@ def nonplot_share(spark: SparkSession, sf_dir: str) -> DataFrame:
     return docs.select("doc_id", F.round(T.nonplot_share(F.col("text"), CUES, "\n"), 9).alias("share"))
 
 
-_GUARD = "|".join(a.replace(".", r"\.") for a in T.ABBREVIATIONS)
-
-
 @query(rf"""
     SELECT conv_id, turn, len(s)::BIGINT AS sentences, s[1] AS first, s[-1] AS last FROM (
-        SELECT conv_id, turn, list_filter(list_transform(string_split(regexp_replace(regexp_replace(text, '(^|\s)({_GUARD}|[A-Z]\.)(\s)', '\1\2' || chr(1), 'g'), '([.!?]["”’)]?)\s+', '\1' || chr(2), 'g'), chr(2)),
-            lambda x: trim(replace(x, chr(1), ' '))), lambda x: x <> '') AS s FROM conversations WHERE text IS NOT NULL)
+        SELECT conv_id, turn, list_filter(list_transform(string_split(regexp_replace(regexp_replace(text, '{T.GUARDED}', '\1\2' || chr(1), 'g'), '{T.SENTENCE_END}', '\1' || chr(2) || '\2', 'g'), chr(2)),
+            lambda x: trim(replace(x, chr(1), '.'))), lambda x: x <> '') AS s FROM conversations WHERE text IS NOT NULL)
     WHERE len(s) > 0""")
 def sentence_split(spark: SparkSession, sf_dir: str) -> DataFrame:
     s = table(spark, sf_dir, "conversations").where("text is not null").select("conv_id", "turn", T.sentences(F.col("text")).alias("s")).where(F.size("s") > 0)
