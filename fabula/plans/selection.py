@@ -2,16 +2,13 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-
-import pandas as pd
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from fabula.operators import selection
+from fabula.functions.text import word_count
+from fabula.operators import gold, selection
 from fabula.plans.rates import W
 from fabula.registry import query
-from fabula.functions.text import word_count
 from fabula.sources.tables import table
 
 
@@ -85,32 +82,20 @@ def backfill_until_full(spark: SparkSession, sf_dir: str) -> DataFrame:
     return selection.backfill(d, slots, "source", [F.col("n_chars"), F.col("doc_id")]).select("doc_id", "source", "ok", "ok_before")
 
 
-#: Rows of a greedy selection: its two counters depend on each pick, so it is one ordered fold.
-GREEDY_POOL, GREEDY_PICKS = 400, 40
-
-
-def _greedy(pool: pd.DataFrame) -> pd.DataFrame:
-    """Each pick takes the item whose genre, then cell, has fewest picks so far, then the most famous."""
-    left, genres, cells, out = pool.sort_values(["fame", "id"], ascending=[False, True]).to_dict("records"), {}, {}, []
-    while left and len(out) < GREEDY_PICKS:
-        best = min(range(len(left)), key=lambda k: (genres.get(left[k]["genre"], 0), cells.get(left[k]["cell"], 0), k))
-        row = left.pop(best)
-        genres[row["genre"]] = genres.get(row["genre"], 0) + 1
-        cells[row["cell"]] = cells.get(row["cell"], 0) + 1
-        out.append({"id": row["id"], "genre": row["genre"], "cell": row["cell"], "place": len(out) + 1})
-    return pd.DataFrame(out, columns=["id", "genre", "cell", "place"])
+#: Rows that a greedy selection chooses from.
+GREEDY_POOL = 500
 
 
 @query()
 def gold_greedy(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Balanced choice from the most famous items; the pool is a top-k, bounded by GREEDY_POOL rows."""
-    pool = _items(spark, sf_dir).orderBy(F.desc("fame"), "id").limit(GREEDY_POOL).select("id", "genre", "cell", "fame")
-
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        rows = list(batches)
-        yield _greedy(pd.concat(rows)) if rows else pd.DataFrame(columns=["id", "genre", "cell", "place"])
-
-    return pool.coalesce(1).mapInPandas(run, "id long, genre string, cell string, place long")
+    """A balanced gold set from the most famous titles; some forced to be labelled twice."""
+    items = _items(spark, sf_dir).join(table(spark, sf_dir, "labels").select(F.col("doc_id").alias("id"), "quality", "toxic"), "id", "left")
+    media = F.when(F.col("id") % 4 == 0, "tv_series").otherwise("movie")
+    region = F.when(F.col("genre") == "en", "english").otherwise(F.col("genre"))
+    pool = items.orderBy(F.desc("fame"), "id").limit(GREEDY_POOL).select(
+        F.concat(F.lit("Q"), F.col("id").cast("string")).alias("qid"), media.alias("media_type"), region.alias("region"), F.col("quality").isNotNull().alias("seed"), F.col("cell").alias("plot"), F.col("genre").alias("arc"), "fame",
+    )
+    return gold.select(pool, forced=frozenset({"Q5", "Q17", "Q100"}))
 
 
 @query("""

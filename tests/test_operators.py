@@ -4,7 +4,7 @@ import random
 
 from pyspark.sql import functions as F
 
-from fabula.operators import ledger, matching, metrics, ordered, selection
+from fabula.operators import gold, ledger, matching, metrics, ordered, selection
 from fabula.operators.graph import ancestors
 
 
@@ -69,3 +69,17 @@ def test_attempts_end_with_an_outcome(spark):
 def test_ancestors(spark):
     edges = spark.createDataFrame([(4, 3), (3, 2), (2, 1), (9, 8)], "node long, above long")
     assert {tuple(r) for r in ancestors(edges).collect()} == {(4, 3), (4, 2), (4, 1), (3, 2), (3, 1), (2, 1), (9, 8)}
+
+
+def test_gold_set_is_balanced():
+    import pandas as pd
+
+    rng = random.Random(4)
+    pool = pd.DataFrame([{"qid": f"Q{k}", "media_type": rng.choice(("movie", "tv_series")), "region": rng.choice(("english", "korean")), "seed": k < 40, "plot": f"p{k % 4}", "arc": f"a{k % 3}", "fame": k % 50} for k in range(1, 300)])
+    picks = gold.chosen(pool, 50, 0.3, 10)
+    assert len(picks) == 50 and sum(p["media_type"] == "tv_series" for p in picks) == 15 and sum(p["region"] != "english" for p in picks) >= 10
+    seeds = sum(p["seed"] for p in picks)
+    assert seeds >= 30
+    marked = gold.twice(picks, 10, frozenset({picks[1]["qid"], picks[7]["qid"]}))
+    assert len(marked) == 10 and {1, 7} <= marked
+    assert gold.twice([], 5) == set()
