@@ -55,11 +55,13 @@ def twice(picks: list[dict], k: int = DOUBLE, forced: frozenset[str] = frozenset
 def select(pool: DataFrame, n: int = TITLES, forced: frozenset[str] = frozenset()) -> DataFrame:
     """pool: few rows (a top-k), in one task."""
 
+    columns = pool.columns
+
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         rows = [f for f in frames if len(f)]
         picks = chosen(pd.concat(rows), n) if rows else []
         marked = twice(picks, DOUBLE, forced)
         names = [c.split()[0] for c in OUT.split(", ")]
-        yield pd.DataFrame([{**r, "place": i + 1, "double_label": i in marked} for i, r in enumerate(picks)], columns=sorted({*names, *pool.columns}))[names]
+        yield pd.DataFrame([{**r, "place": i + 1, "double_label": i in marked} for i, r in enumerate(picks)], columns=sorted({*names, *columns}))[names]
 
     return pool.coalesce(1).mapInPandas(run, OUT)
