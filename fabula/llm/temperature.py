@@ -27,7 +27,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 #: Steps of the bisection; blocks; the largest number of epochs of a source; target entropy as a part of the greatest possible.
-STEPS, BLOCKS, REPEATS, ENTROPY = 50, 64, 2.0, 0.98
+STEPS, BLOCKS, REPEATS, ENTROPY = 50, 64, 2.0, 0.999
 #: Tokens of a digest range, about.
 RANGE_TOKENS = 1 << 20
 TOKEN = r"[^\x20\x09-\x0D]+"
