@@ -30,6 +30,8 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
+from fabula.llm.memory import releasing, small_batches
+
 #: Bytes of a frame, side in samples, padding byte, microseconds of a frame; bins, least difference, deviations and span of the shot rule.
 FRAME, SIDE, PAD, MICROS, BINS, FLOOR, SIGMAS, SPAN = 576, 24, 255, 40_000, 16, 0.2, 3.0, 8
 BLOCKS = FRAME // 64
@@ -344,7 +346,7 @@ def encode(docs: DataFrame) -> DataFrame:
                 raw = [(t or "").encode() for t in b.column("text").to_pylist()]
                 yield pa.record_batch({"doc_id": b.column("doc_id").cast(pa.int64()), "n_bytes": pa.array(map(len, raw), pa.int64()), "media": pa.array([write_avi(write_frames(padded(x))) for x in raw], pa.binary())})
 
-    return docs.select("doc_id", "text").mapInArrow(run, "doc_id long, n_bytes long, media binary")
+    return small_batches(docs).select("doc_id", "text").mapInArrow(releasing(run), "doc_id long, n_bytes long, media binary")
 
 
 def clips(media: DataFrame) -> DataFrame:
@@ -361,7 +363,7 @@ def clips(media: DataFrame) -> DataFrame:
                         x.append(y)
             yield pa.record_batch([pa.array(x, t) for x, t in zip(rows, (pa.int64(), pa.int32(), pa.int32(), pa.int32(), pa.float64(), pa.float64()), strict=True)], ["doc_id", "clip", "first_frame", "last_frame", "start_ms", "end_ms"])
 
-    return media.select("doc_id", "media").mapInArrow(run, "doc_id long, clip int, first_frame int, last_frame int, start_ms double, end_ms double")
+    return media.select("doc_id", "media").mapInArrow(releasing(run), "doc_id long, clip int, first_frame int, last_frame int, start_ms double, end_ms double")
 
 
 DIGEST = "doc_id long, n_bytes long, payload_bytes long, payload_sha256 string, tail_crc32 long, media_bytes long, media_sha256 string, feature string"
@@ -384,7 +386,7 @@ def digests(media: DataFrame) -> DataFrame:
             kinds = (pa.int64(), pa.string(), pa.int64(), pa.int64(), pa.string(), pa.string())
             yield pa.record_batch([b.column("doc_id"), b.column("n_bytes"), *[pa.array(x, t) for x, t in zip(out, kinds, strict=True)]], [c.split()[0] for c in DIGEST.split(", ")])
 
-    return media.select("doc_id", "n_bytes", "media").mapInArrow(run, DIGEST)
+    return media.select("doc_id", "n_bytes", "media").mapInArrow(releasing(run), DIGEST)
 
 
 def op9_mjpeg(spark, sf_dir: str) -> DataFrame:

@@ -25,6 +25,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from fabula.llm import training
+from fabula.llm.memory import releasing, small_batches
 
 #: Bins of hashed words, bins of a statistic, rank of the interactions.
 WORD_BINS, STEPS, RANK = 1024, 10, 8
@@ -41,7 +42,7 @@ N_FEATURES = WORD_BINS + STEPS * len(STATISTICS)
 
 class _Bins(dict):
     def __missing__(self, word: str) -> int:
-        if len(self) > 300_000:
+        if len(self) > 100_000:
             self.clear()
         self[word] = out = zlib.crc32(word.lower().encode()) % WORD_BINS
         return out
@@ -116,7 +117,7 @@ def _sparse(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 
 def train(docs: DataFrame, labels: DataFrame, rows: int = SAMPLE_ROWS) -> Machine:
     """Without labelled rows every text scores 0.5."""
-    seen = training.sample(docs, labels, "quality", rows).mapInPandas(_sparse, "doc_id long, y int, i array<int>, x array<float>")
+    seen = training.sample(docs, labels, "quality", rows).mapInPandas(releasing(_sparse), "doc_id long, y int, i array<int>, x array<float>")
     # bounded: SAMPLE_ROWS rows of N_FEATURES numbers at most
     got = seen.orderBy("doc_id").toArrow()
     if not got.num_rows:
@@ -141,7 +142,7 @@ def score(docs: DataFrame, machine: Machine) -> DataFrame:
             p = 1 / (1 + np.exp(-np.clip(z, -30, 30)))
             yield pa.record_batch({"doc_id": b.column("doc_id"), "score": pa.array(p, pa.float64()), "predicted": pa.array((p >= 0.5).astype(np.int32), pa.int32())})
 
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(run, "doc_id long, score double, predicted int")
+    return small_batches(docs).select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(releasing(run), "doc_id long, score double, predicted int")
 
 
 def op1_quality(spark, sf_dir: str) -> DataFrame:

@@ -33,6 +33,7 @@ from pyspark.sql import functions as F
 
 from fabula.llm import training
 from fabula.llm.hashing import mix
+from fabula.llm.memory import releasing, small_batches
 
 #: Shortest and longest beginning of a word that can be a stem; most stems kept; least precision of a stem; share of its gain for which a stem gives way to longer ones; score from which a text is toxic.
 SHORTEST, LONGEST, MOST_STEMS, PRECISION, KEEPS, TOXIC = 3, 10, 4096, 0.3, 0.9, 0.7
@@ -76,6 +77,22 @@ class Trie:
         return node.get("", best)
 
 
+class Symbols(dict):
+    """Word -> output symbol and weight, worked out at first sight; at most CACHE words are kept."""
+
+    CACHE = 100_000
+
+    def __init__(self, trie: Trie, plain: dict[str, tuple[str, float]]) -> None:
+        self.trie, self.plain = trie, plain
+
+    def __missing__(self, word: str):
+        if len(self) > self.CACHE:
+            self.clear()
+        w = self.trie.weigh(word)
+        self[word] = out = ("insult", w) if w else self.plain.get(word)
+        return out
+
+
 class Grammar:
     """The composed transducer. stems: stem -> weight."""
 
@@ -85,17 +102,7 @@ class Grammar:
             trie.add(s, w)
         plain = {w: ("threat", 2.0) for w in THREAT} | {w: ("target", 0.0) for w in TARGET} | {w: ("negation", 0.0) for w in NEGATION} | {w: ("report", 0.0) for w in REPORT} | {q: ("report", 0.0) for q in QUOTES}
 
-        class Symbols(dict):
-            """Word -> output symbol and weight, worked out at first sight."""
-
-            def __missing__(self, word: str):
-                if len(self) > 400_000:
-                    self.clear()
-                w = trie.weigh(word)
-                self[word] = out = ("insult", w) if w else plain.get(word)
-                return out
-
-        self.symbols = Symbols()
+        self.symbols = Symbols(trie, plain)
 
     def matches(self, text: str) -> np.ndarray:
         """Sums of match weights by kind and state."""
@@ -181,7 +188,7 @@ def _count(keep: frozenset[int]):
             for i, t, y in zip(*(b.column(c).to_pylist() for c in ("doc_id", "text", "y")), strict=True):
                 if i in keep:
                     (toxic if y else clean).update(_stems(_words(t)))
-                if len(clean) + len(toxic) > 400_000:
+                if len(clean) + len(toxic) > 250_000:
                     yield from rows(toxic, clean)
                     toxic, clean = Counter(), Counter()
         yield from rows(toxic, clean)
@@ -227,14 +234,14 @@ class Model:
 def fit(docs: DataFrame, labels: DataFrame, rows: int = training.SAMPLE_ROWS) -> Model:
     seen = training.sample(docs, labels, "toxic", rows)
     seeds = {s + "$": 2.0 for s in SEEDS}
-    sketch = seen.select("doc_id", "text").mapInPandas(_leading, "doc_id long, sketch long")
+    sketch = seen.select("doc_id", "text").mapInPandas(releasing(_leading), "doc_id long, sketch long")
     keep = frozenset(r[0] for r in sketch.groupBy("sketch").agg(F.min("doc_id")).select("min(doc_id)").collect())  # at most the sample's rows
     ys = [r.y for r in seen.select("doc_id", "y").collect() if r.doc_id in keep]
     if not any(ys):
         return Model(seeds, PRIOR)
-    counts = seen.mapInArrow(_count(keep), "stem string, toxic long, clean long")
+    counts = seen.mapInArrow(releasing(_count(keep)), "stem string, toxic long, clean long")
     stems = seeds | choose(counts, sum(map(bool, ys)), sum(not y for y in ys))
-    found = seen.mapInPandas(_matched(stems), "y int, m array<double>").collect()
+    found = seen.mapInPandas(releasing(_matched(stems)), "y int, m array<double>").collect()
     return Model(stems, fit_weights(features(np.array([r.m for r in found])), np.array([float(r.y) for r in found])))
 
 
@@ -260,7 +267,7 @@ def _scored(model: Model, at: str = "text"):
 
 def score(docs: DataFrame, model: Model) -> DataFrame:
     """docs: doc_id, text. Returns doc_id, score, predicted."""
-    out = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInPandas(_scored(model), "doc_id long, score double")
+    out = small_batches(docs).select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInPandas(releasing(_scored(model)), "doc_id long, score double")
     return out.withColumn("predicted", (F.col("score") >= TOXIC).cast("int"))
 
 
@@ -273,7 +280,7 @@ def clean(docs: DataFrame, model: Model) -> DataFrame:
             z = features(m) @ model.weights if len(m) else np.zeros(0)
             yield b.filter(pa.array(1 / (1 + np.exp(-np.clip(z, -30, 30))) < TOXIC))
 
-    return docs.mapInArrow(keep, docs.schema)
+    return small_batches(docs).mapInArrow(releasing(keep), docs.schema)
 
 
 def op4_toxicity(spark, sf_dir: str) -> DataFrame:

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from fabula.llm.memory import small_batches
 from fabula.llm.scratch import written
 
 #: Most labelled rows that a classifier is fitted on. They are the first by a hash of doc_id.
@@ -25,5 +26,5 @@ def sample(docs: DataFrame, labels: DataFrame, label: str, rows: int = SAMPLE_RO
     y = labels.where(F.col(label).isNotNull() & F.col("doc_id").isNotNull() & (fold(F.col("doc_id")) != 1)).groupBy("doc_id").agg(F.max(label).cast("int").alias("y"))
     chosen = y.orderBy(F.xxhash64("doc_id"), "doc_id").limit(rows)
     # at most SAMPLE_ROWS pairs of numbers: small enough to broadcast by that bound
-    texts = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text")).join(F.broadcast(chosen), "doc_id")
+    texts = small_batches(docs).select("doc_id", F.coalesce("text", F.lit("")).alias("text")).join(F.broadcast(chosen), "doc_id")
     return written(texts, f"sample-{label}")

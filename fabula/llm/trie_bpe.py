@@ -30,8 +30,10 @@ import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
 
-#: Entries of a task's cache of encoded stretches between blanks.
-CACHE = 300_000
+from fabula.llm.memory import releasing, small_batches
+
+#: Entries of a task's caches: encoded stretches between blanks, and token pairs looked at.
+CACHE, PAIRS = 240_000, 300_000
 OUT = "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string"
 OUT_FULL = "doc_id long, n_tokens long, ids array<int>, decoded string"
 
@@ -54,7 +56,8 @@ class TrieBpe:
         self.special = {t["content"]: t["id"] for t in spec["added_tokens"]}
         self.split_special = re.compile("(" + "|".join(map(re.escape, sorted(self.special, key=len, reverse=True))) + ")") if self.special else None
         self.pattern = regex.compile(spec["pre_tokenizer"]["pretokenizers"][0]["pattern"]["Regex"])
-        self.bytes = byte_characters()
+        self.by_line = regex.compile(r"\n|" + self.pattern.pattern)
+        self.byte_table = dict(enumerate(byte_characters()))
         end = self.suffix
         self.inner = {t: i for t, i in vocab.items() if not t.endswith(end) or t == end}
         self.final = {t.removesuffix(end): i for t, i in vocab.items() if t.endswith(end) and t != end}
@@ -67,7 +70,7 @@ class TrieBpe:
             if t not in self.rank:
                 self.left[t], self.right[t], self.rank[t] = i, j, k
             self.pairs.setdefault((i, j), k)
-        self.beside: dict[tuple[int, int], bool] = {}
+        self.beside: dict[int, bool] = {}  # left << 20 | right
 
     @staticmethod
     def sizes(tokens: dict[str, int]) -> dict[str, list[int]]:
@@ -80,7 +83,7 @@ class TrieBpe:
 
     def may_stand(self, a: int, b: int) -> bool:
         """Whether token b may follow token a, from the merges that made them, last first: no pair along their common edge may have merged before its parts were taken up."""
-        known = self.beside.get((a, b))
+        known = self.beside.get(a << 20 | b)
         if known is not None:
             return known
         x, y, limit, out = a, b, 1 << 60, True
@@ -96,9 +99,9 @@ class TrieBpe:
                 limit, x = rx, self.right[x]
             else:  # y was; and of two equal merges the left one comes first
                 limit, y = ry + 1, self.left[y]
-        if len(self.beside) > 2_000_000:
+        if len(self.beside) > PAIRS:
             self.beside.clear()
-        self.beside[a, b] = out
+        self.beside[a << 20 | b] = out
         return out
 
     def encode_words(self, words: list[str]) -> dict[str, tuple[int, ...]]:
@@ -117,7 +120,7 @@ class TrieBpe:
                     if j >= 0 and (t := inner.get(w[j:i])) is not None:
                         if j == 0:
                             break
-                        ok = beside.get((last[j], t))
+                        ok = beside.get(last[j] << 20 | t)
                         if ok or ok is None and may(last[j], t):
                             break
                 last.append(t)
@@ -126,7 +129,7 @@ class TrieBpe:
                 if j >= 0 and (t := final.get(w[j:])) is not None:
                     if j == 0:
                         break
-                    ok = beside.get((last[j], t))
+                    ok = beside.get(last[j] << 20 | t)
                     if ok or ok is None and may(last[j], t):
                         break
             ids = [t]
@@ -140,20 +143,46 @@ class TrieBpe:
     def size(self, token: int) -> int:
         return len(self.names[token])
 
-    def words(self, stretch: str) -> list[str | int]:
-        """The words of a stretch in byte characters; special tokens as their ids."""
-        out: list[str | int] = []
-        for part in self.split_special.split(stretch) if self.split_special and "<" in stretch else [stretch]:
-            if part in self.special:
-                out.append(self.special[part])
-                continue
-            if not part.isascii():
-                part = unicodedata.normalize("NFC", part)
-            low = part.lower() if "Σ" not in part else "".join(c.lower() for c in part)  # each character by itself: no final sigma
-            chars = self.bytes
-            for w in self.pattern.findall(low):
-                out.append(w if w.isascii() and w.isprintable() and " " not in w else "".join(chars[b] for b in w.encode()))
-        return out
+    def in_bytes(self, word: str) -> str:
+        """A word in byte characters."""
+        return word if word.isascii() and word.isprintable() else word.encode().decode("latin-1").translate(self.byte_table)
+
+    def encode_raw(self, words: set[str]) -> dict[str, tuple[int, ...]]:
+        forms = {w: self.in_bytes(w) for w in words}
+        ids = self.encode_words(list(set(forms.values())))
+        return {w: ids[f] for w, f in forms.items()}
+
+    def normal(self, text: str) -> str:
+        """NFC, then lower case, each character by itself: no final sigma. White space is left to the pattern."""
+        if not text.isascii():
+            text = unicodedata.normalize("NFC", text)
+        return text.lower() if "Σ" not in text else "".join(c.lower() for c in text)
+
+    def encode_stretches(self, new: list[str], words: dict[str, tuple[int, ...]]) -> Iterator[tuple[str, list[int]]]:
+        """Ids of texts without blanks or line ends. words: what is known, grows."""
+        marked = [s for s in new if "<|" in s and any(x in s for x in self.special)]
+        plain = [s for s in new if s not in set(marked)] if marked else new
+        if plain:
+            found = self.by_line.findall(self.normal("\n".join(plain)))  # all at once; a line end closes a stretch
+            words |= self.encode_raw(set(found) - words.keys() - {"\n"})
+            ids, at = [], iter(plain)
+            for w in found:
+                if w == "\n":
+                    yield next(at), ids
+                    ids = []
+                else:
+                    ids.extend(words[w])
+            yield next(at), ids
+        for s in marked:
+            ids = []
+            for part in self.split_special.split(s):
+                if part in self.special:
+                    ids.append(self.special[part])
+                else:
+                    found = self.pattern.findall(self.normal(part))
+                    words |= self.encode_raw(set(found) - words.keys())
+                    ids.extend(i for w in found for i in words[w])
+            yield s, ids
 
 
 @functools.lru_cache(2)
@@ -164,25 +193,25 @@ def loaded(path: str) -> TrieBpe:
 _BLANKS = str.maketrans("\t\n\r", "   ")
 
 
-def encoded(path: str, batches: Iterator[pa.RecordBatch], full: bool, piece: int = 1000) -> Iterator[pa.RecordBatch]:
-    bpe, cache = loaded(path), {"": (b"", "")}
+def encoded(path: str, batches: Iterator[pa.RecordBatch], full: bool, piece: int = 500) -> Iterator[pa.RecordBatch]:
+    bpe = loaded(path)
+    ids_of: dict[str, bytes] = {"": b""}
+    text_of: dict[str, str] = {"": ""}
     words: dict[str, tuple[int, ...]] = {}
     for whole in batches:
         for k in range(0, whole.num_rows, piece):
             b = whole.slice(k, piece)
             texts = [x.translate(_BLANKS).split(" ") if x else [] for x in b.column("text").to_pylist()]
-            if len(cache) > CACHE:
-                cache, words = {"": (b"", "")}, {}
-            new = {s: bpe.words(s) for s in {s for t in texts for s in t} - cache.keys()}
-            words |= bpe.encode_words(list({w for v in new.values() for w in v if isinstance(w, str)} - words.keys()))
-            for s, v in new.items():
-                ids = [i for w in v for i in ((w,) if isinstance(w, int) else words[w])]
-                cache[s] = (struct.pack(f"<{len(ids)}I", *ids), " ".join(map(bpe.names.__getitem__, ids)))
+            if len(ids_of) > CACHE:
+                ids_of, text_of, words = {"": b""}, {"": ""}, {}
+            new = sorted(set().union(*texts).difference(ids_of))
+            for s, ids in bpe.encode_stretches(new, words):
+                ids_of[s] = struct.pack(f"<{len(ids)}I", *ids)
+                text_of[s] = " ".join([bpe.names[i] for i in ids]) + " " if ids else ""
             count, one, two = [], [], []
             for t in texts:
-                got = [cache[s] for s in t]
-                raw = b"".join([x[0] for x in got])
-                text = " ".join([x[1] for x in got if x[1]])
+                raw = b"".join(map(ids_of.__getitem__, t))
+                text = "".join(map(text_of.__getitem__, t))[:-1]
                 count.append(len(raw) // 4)
                 one.append(list(struct.unpack(f"<{len(raw) // 4}I", raw)) if full else hashlib.sha256(raw).hexdigest())
                 two.append(text if full else hashlib.sha256(text.encode()).hexdigest())
@@ -199,7 +228,7 @@ def tokenizer_path() -> str:
 def trie_bpe(docs: DataFrame, path: str | None = None, full: bool = False) -> DataFrame:
     """docs: doc_id, text; path: of a tokenizer file on every machine. Digests of ids and decoded text, or with full both themselves."""
     path = path or tokenizer_path()
-    return docs.select("doc_id", "text").mapInArrow(lambda it: encoded(path, it, full), OUT_FULL if full else OUT)
+    return small_batches(docs).select("doc_id", "text").mapInArrow(releasing(lambda it: encoded(path, it, full)), OUT_FULL if full else OUT)
 
 
 def op6_trie_bpe(spark, sf_dir: str) -> DataFrame:

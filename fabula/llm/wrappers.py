@@ -33,6 +33,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from fabula.llm.memory import releasing, small_batches
+
 #: Most pages that a host's wrapper is inferred from; longest repeated group in tokens; most tokens of a sampled page after repeats are joined; bytes of all wrappers up to which they are broadcast.
 SAMPLE_PAGES, LONGEST, MOST_TOKENS, BROADCAST_BYTES = 12, 24, 2000, 8 << 20
 
@@ -304,7 +306,7 @@ def main_text(pages: DataFrame, rules: DataFrame | None = None) -> DataFrame:
                 texts = [extract(h, _content(c)) if h else "" for h, c in zip(b.column("html").to_pylist(), b.column("content").to_pylist(), strict=True)]
                 yield pa.record_batch({"page_id": b.column("page_id"), "url": b.column("url"), "text": pa.array(texts, pa.string()), "n_chars": pa.array(map(len, texts), pa.int64())})
 
-    return rows.select("page_id", "url", "html", "content").mapInArrow(run, f"page_id {pages.schema['page_id'].dataType.simpleString()}, url string, text string, n_chars long")
+    return small_batches(rows).select("page_id", "url", "html", "content").mapInArrow(releasing(run), f"page_id {pages.schema['page_id'].dataType.simpleString()}, url string, text string, n_chars long")
 
 
 def op3_wrappers(spark, sf_dir: str) -> DataFrame:
