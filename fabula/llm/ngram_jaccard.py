@@ -33,6 +33,7 @@ from pyspark.sql import functions as F
 from fabula.llm import exchange as X
 from fabula.llm import hashing as H
 from fabula.llm.graph import components
+from fabula.llm.memory import releasing
 from fabula.llm.scratch import written
 
 #: Words of a shingle; the least similarity, as a ratio of whole numbers; bytes of a family, and of a block of a larger one.
@@ -108,12 +109,17 @@ class _Bucket:
         first[1:] = self.h1[o][1:] != self.h1[o][:-1]
         self.sets = o[first]  # rows, by h1
 
-    def of_sets(self, rows: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """Shingles of some rows with the row's place among them, and all distinct ones."""
+    def of_sets(self, rows: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """Shingles of some rows with the row's place among them, all distinct ones, and the place among these of each."""
         n = self.n[rows]
         at = np.repeat(self.cut[rows] - (np.cumsum(n) - n), n) + np.arange(int(n.sum()))
         key = self.key[at]
-        return key, np.repeat(np.arange(len(rows)), n), np.unique(key)
+        o = np.argsort(key)
+        new = np.ones(len(o), bool)
+        new[1:] = key[o][1:] != key[o][:-1]
+        entry = np.empty(len(o), np.int64)
+        entry[o] = np.cumsum(new) - 1
+        return key, np.repeat(np.arange(len(rows)), n), key[o][new], entry
 
 
 def _parts(reply: pa.Table) -> tuple[pa.Table, pa.Table]:
@@ -142,12 +148,11 @@ def survivors(dealt: X.Bucketed) -> DataFrame:
         b = _Bucket(table)
         one, two = _parts(reply)
         rows = b.sets[X.replies(one) == 0]
-        key, of, known = b.of_sets(rows)
-        entry = np.searchsorted(known, key)
+        key, of, known, entry = b.of_sets(rows)
         held = X.replies(two)
         other = (held[entry] > 1) | (np.bincount(entry, minlength=len(known))[entry] > 1)
-        o = np.lexsort((key, held[entry]))
-        o = o[np.argsort(of[o], kind="stable")]
+        o = np.argsort((held[entry].astype(np.uint64) << np.uint64(56)) | (key >> np.uint64(8)))
+        o = o[np.argsort(of[o].astype(np.uint16) if len(rows) < 1 << 16 else of[o], kind="stable")]
         start = np.cumsum(b.n[rows]) - b.n[rows]
         place = np.arange(len(o)) - start[of[o]]
         lead = other[o] & (place < (b.n[rows] - need(b.n[rows]) + 1)[of[o]])
@@ -288,7 +293,7 @@ def _links(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def linked(sets: DataFrame, family_bytes: int = FAMILY_BYTES) -> DataFrame:
     """sets: rows of SET with first. Returns id, root of all sets that share a first shingle with another."""
-    tokens = sets.select("doc_id", "first").mapInArrow(_tokens, "token long, id long")
+    tokens = sets.select("doc_id", "first").mapInArrow(releasing(_tokens), "token long, id long")
     least = tokens.groupBy("token").agg(F.min("id").alias("low"), F.max("id").alias("high")).where("low < high")
     families = written(components(tokens.join(least, "token").where("id <> low").select(F.col("id").alias("a"), F.col("low").alias("b"))), "families")
     rows = sets.join(families.select(F.col("node").alias("doc_id"), F.col("root").alias("family")), "doc_id")
@@ -297,7 +302,7 @@ def linked(sets: DataFrame, family_bytes: int = FAMILY_BYTES) -> DataFrame:
     rows = rows.join(blocks, "family").withColumn("block", F.pmod(F.xxhash64("doc_id"), F.col("blocks")).cast("int"))
     rows = rows.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).withColumn("x", F.least("block", "other")).withColumn("y", F.greatest("block", "other"))
     dealt = rows.select("family", "x", "y", "doc_id", "n", "shared", "first", "block").repartition("family", "x", "y").sortWithinPartitions("family", "x", "y")
-    found = dealt.mapInArrow(_links, "id long, root long")
+    found = dealt.mapInArrow(releasing(_links), "id long, root long")
     if not big:
         return found
     return components(found.select(F.col("id").alias("a"), F.col("root").alias("b"))).select(F.col("node").alias("id"), "root")
