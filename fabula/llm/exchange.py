@@ -80,7 +80,7 @@ def ranks(ids: np.ndarray) -> np.ndarray:
     return np.unique(ids, return_inverse=True)[1].astype(np.int64)
 
 
-def pieces(off: np.ndarray, limit: int = 1 << 20) -> Iterator[tuple[int, int]]:
+def pieces(off: np.ndarray, limit: int = 1 << 19) -> Iterator[tuple[int, int]]:
     """Row ranges of about limit bytes, one document at least."""
     i, n = 0, len(off) - 1
     while i < n:

@@ -211,31 +211,21 @@ def removal(dealt: X.Bucketed, keep_body: bool = False) -> DataFrame:
 
 def cut_out(table: pa.Table, data: np.ndarray, off: np.ndarray, gone: np.ndarray, keep_body: bool) -> pa.Table:
     """Rows of OUT from a mask of removed bytes."""
-    total = np.append(0, np.cumsum(gone, dtype=np.int32))
-    removed = total[off[1:]] - total[off[:-1]]
-    edge = gone.copy()
-    edge[1:] &= ~gone[:-1]
-    inner = off[:-1][(off[:-1] < len(gone))]
-    edge[inner] = gone[inner]  # a run ends with its document
-    count = np.append(0, np.cumsum(edge, dtype=np.int32))
-    spans = count[off[1:]] - count[off[:-1]]
-    kept, shas, starts, ends = [], [], [], []
+    removed, spans, kept, shas, starts, ends = [], [], [], [], [], []
     for i in range(len(off) - 1):
-        x = data[off[i] : off[i + 1]]
-        if removed[i]:
-            g = gone[off[i] : off[i + 1]]
-            if keep_body:
-                step = np.flatnonzero(np.diff(np.concatenate(([0], g.view(np.int8), [0]))))
-                starts.append(step[::2].tolist())
-                ends.append(step[1::2].tolist())
+        x, g = data[off[i] : off[i + 1]], gone[off[i] : off[i + 1]]
+        n, edges = int(np.count_nonzero(g)), np.zeros(0, np.int64)
+        if n:
+            edges = np.flatnonzero(np.diff(g.view(np.int8), prepend=0, append=0))  # a run ends with its document
             x = x[~g]
-        elif keep_body:
-            starts.append([])
-            ends.append([])
+        removed.append(n)
+        spans.append(len(edges) // 2)
         b = x.tobytes()
         shas.append(hashlib.sha256(b).hexdigest())
         if keep_body:
             kept.append(b)
+            starts.append(edges[::2].tolist())
+            ends.append(edges[1::2].tolist())
     m = len(off) - 1
     return pa.table({
         "doc_id": table.column("doc_id"), "n_bytes": pa.array(np.diff(off), pa.int64()), "n_removed": pa.array(removed, pa.int64()), "n_spans": pa.array(spans, pa.int64()), "kept_sha256": pa.array(shas, pa.string()),
