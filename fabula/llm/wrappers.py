@@ -1,26 +1,28 @@
-"""HTML extraction by wrappers: union-free regular expressions inferred for each host.
+"""HTML extraction by rules on the paths of elements, with statistics of each host.
 
-A page is a stream of tags and texts. The streams of at most SAMPLE_PAGES pages of a host (the
-first by a hash of page_id) are aligned one after another: neighbouring equal groups become a
-repeated group, a mismatch that one side lacks becomes an optional group, and texts become
-slots. The result, the host's wrapper, has no unions. Its slots are then told apart: template
-text outside the main region that is the same on all pages while others change, slots in menus, headers, footers,
-sidebars, adverts, notices, forms and comments, and slots outside the main region (an article
-or main element, else the element with the most text in few links) are not content.
+A page with text in an article or main element keeps what stands there, without menus, headers,
+footers, sidebars, adverts, notices, forms and comments. Other pages keep what stands in the main
+region of their host: the deepest container that holds most of the text of all such pages of the
+host. Text that TEMPLATE_SHARE of them have alike at the same path, three different pages at least,
+is template text and goes, unless nothing else is left. A page that has less than half of its text in the
+host's region also keeps its own main region, found in the same way.
 
-Every page is read whole with its host's wrapper: a text is kept or dropped by the slot, that is
-by the path of elements, it stands in; where the wrapper has no such slot, by the same rules of
-names and classes. Character references are decoded, white space inside a block becomes one
-blank, and blocks are joined by newlines.
+The statistics are taken from all pages, added up by path before the shuffle. Numbers in ids, as
+in post-123, are no part of a path. Character references are decoded, white space inside a block
+becomes one blank, and blocks are joined by newlines.
+
+A host's wrapper, a union-free regular expression (neighbouring equal groups repeated, what one
+side lacks optional, texts as slots), is inferred by ``infer`` and ``wrappers`` from a few pages to be
+looked at; it doesn't decide what is extracted.
 
 Null pages and pages without content give an empty text. Pages without a url share the host "".
-A host with very many pages gives a bounded sample, picked before the shuffle; repeated rows
-repeat their result.
+Repeated rows repeat their result.
 """
 
 from __future__ import annotations
 
 import functools
+import hashlib
 import html as entities
 import json
 import re
@@ -35,11 +37,14 @@ from pyspark.sql import functions as F
 
 from fabula.llm.memory import releasing, small_batches
 
-#: Most pages that a host's wrapper is inferred from; longest repeated group in tokens; most tokens of a sampled page after repeats are joined; bytes of all wrappers up to which they are broadcast.
+#: Most pages that a wrapper to be looked at is inferred from; longest repeated group in tokens; most tokens of such a page after repeats are joined; bytes of all rules up to which they are broadcast.
 SAMPLE_PAGES, LONGEST, MOST_TOKENS, BROADCAST_BYTES = 12, 24, 2000, 8 << 20
+#: Share of pages that have template text alike; share of the text that a main region holds; entries that a task adds up before it hands them on.
+TEMPLATE_SHARE, REGION_SHARE, ENTRIES = 0.9, 0.8, 50_000
 
 TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<![^>]*>|<\?[^>]*>|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>", re.S)
 MARK = re.compile(r"\b(class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+))", re.I)
+PER_PAGE = re.compile(r"\d{2,}")
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 RAW = frozenset("script style textarea title noscript iframe template xmp noembed noframes".split())
 INLINE = frozenset("a abbr acronym b bdi bdo big cite code data del dfn em font i ins kbd label mark q rp rt ruby s samp small span strike strong sub sup time tt u var wbr".split())
@@ -85,7 +90,7 @@ class Reader:
                         break
                 yield f"</{name}>", None, None
                 continue
-            marks = " ".join(" ".join(x for x in g[1:] if x) for g in MARK.findall(m[3])) if m[3] else ""
+            marks = " ".join(PER_PAGE.sub("", x) if g[0].lower() == "id" else x for g in MARK.findall(m[3]) for x in g[1:] if x) if m[3] else ""
             symbol = f"{name}.{' '.join(sorted(set(marks.lower().split())))}" if marks else name
             yield f"<{symbol}>", None, None
             if name in VOID or m[3].endswith("/") and name not in ("p", "div", "a", "span"):
@@ -231,9 +236,76 @@ def infer(pages: list[str]) -> tuple[list[tuple], dict[str, bool]]:
     return wrapper, content
 
 
-def extract(page: str, content: dict[str, bool]) -> str:
+#: Elements that hold the text itself; a region is the container around them. The second only if they have no class or id.
+TEXTUAL = frozenset("p li h1 h2 h3 h4 h5 h6 pre td th dt dd caption figcaption".split())
+GROUPS = frozenset("ul ol dl table tbody thead tfoot tr blockquote figure".split())
+
+
+def container(path: str) -> str:
+    while path:
+        up, _, step = path.rpartition("/")
+        name, _, marks = step.partition(".")
+        if name not in TEXTUAL and (marks or name not in GROUPS):
+            break
+        path = up
+    return path
+
+
+def under(path: str, region: str) -> bool:
+    return path == region or path.startswith(region + "/")
+
+
+def region(size: dict[str, int]) -> str:
+    """The deepest container of most of the text; size: characters by path."""
+    mass: dict[str, int] = defaultdict(int)
+    for p, n in size.items():
+        steps = p.split("/")
+        for k in range(2, len(steps) + 1):
+            mass["/".join(steps[:k])] += n
+    most = max(mass.values(), default=0)
+    return container(max((p for p, n in mass.items() if n >= REGION_SHARE * most), key=lambda p: (p.count("/"), p), default=""))
+
+
+def by_path(steps: list[tuple[str, str | None, str | None]]) -> dict[str, list[str]]:
+    texts = defaultdict(list)
+    for _, path, text in steps:
+        if path is not None:
+            texts[path].append(" ".join(entities.unescape(text).split()))
+    return texts
+
+
+def digest(values: list[str]) -> int:
+    return int.from_bytes(hashlib.blake2b("\n".join(values).encode("utf-8", "replace"), digest_size=8).digest(), "little", signed=True)
+
+
+def allowed(texts: dict[str, list[str]]) -> tuple[set[str], bool]:
+    """Paths that are no boilerplate by names and classes, only those in an article or main element if there are any; and whether there are."""
+    good = {p for p in texts if not ruled(p)[0]}
+    main = {p for p in good if ruled(p)[1]}
+    return main or good, bool(main)
+
+
+def kept(texts: dict[str, list[str]], rules: dict) -> set[str]:
+    """The paths of a page that are content. rules: region and template (path -> digest) of its host."""
+    good, main = allowed(texts)
+    if main:
+        return good
+    template = rules.get("template", {})
+    good = {p for p in good if p not in template or template[p] != digest(texts[p])} or good
+    size = {p: sum(map(len, texts[p])) for p in good}
+    at = rules.get("region")
+    out = {p for p in good if at is not None and under(p, at)}
+    if 2 * sum(size[p] for p in out) < sum(size.values()):
+        own = region(size)
+        out |= {p for p in good if under(p, own)}
+    return out
+
+
+def extract(page: str, rules: dict) -> str:
     """The main text of a page."""
-    blocks, words, main = [], [], any(content.values())
+    steps = list(Reader(page).steps())
+    content = kept(by_path(steps), rules)
+    blocks, words = [], []
 
     def end() -> None:
         if words:
@@ -243,7 +315,7 @@ def extract(page: str, content: dict[str, bool]) -> str:
             words.clear()
 
     last = None
-    for symbol, path, text in Reader(page).steps():
+    for symbol, path, text in steps:
         if path is None:
             name = symbol.strip("</>").partition(".")[0]
             if name == "br":
@@ -251,11 +323,7 @@ def extract(page: str, content: dict[str, bool]) -> str:
             elif name not in INLINE:
                 end()
             continue
-        keep = content.get(path)
-        if keep is None:
-            dropped, inside = ruled(path)
-            keep = not dropped and (inside or not main)
-        if keep:
+        if path in content:
             if path != last and last is not None:
                 end()
             last = path
@@ -286,18 +354,72 @@ def show(items: list[tuple]) -> str:
     return "".join(i[1] if i[0] == "t" else "#" if i[0] == "s" else f"({show(i[1])}){'?' if i[0] == 'o' else '+'}" for i in items)
 
 
+STATS = "host string, path string, value long, n long, mass long, pages array<bigint>"
+
+
+def _stats(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Of pages without an article or main element: rows and characters by host, path and value, with the digests of up to three pages."""
+    held: dict[tuple[str, str, int], list] = {}
+
+    def out() -> pa.RecordBatch:
+        names, types = zip(*(x.split() for x in STATS.split(", ")), strict=True)
+        kinds = {"string": pa.string(), "long": pa.int64(), "array<bigint>": pa.list_(pa.int64())}
+        columns = zip(*((*k, n, mass, sorted(pages)) for k, (n, mass, pages) in held.items()), strict=True)
+        b = pa.record_batch([pa.array(c, kinds[t]) for c, t in zip(columns, types, strict=True)], names)
+        held.clear()
+        return b
+
+    for b in batches:
+        for host, page in zip(b.column("host").to_pylist(), b.column("html").to_pylist(), strict=True):
+            texts = by_path(list(Reader(page).steps()))
+            good, main = allowed(texts)
+            if main or not good:
+                continue
+            whole = digest([x for p in sorted(texts) for x in (p, *texts[p])])
+            for p in good:
+                e = held.setdefault((host, p, digest(texts[p])), [0, 0, set()])
+                e[0] += 1
+                e[1] += sum(map(len, texts[p]))
+                if len(e[2]) < 3:
+                    e[2].add(whole)
+        if len(held) > ENTRIES:
+            yield out()
+    if held:
+        yield out()
+
+
+def rules(pages: DataFrame) -> DataFrame:
+    """pages: page_id, url, html. Returns host, content (JSON: region, template) of hosts that have pages without an article or main element."""
+    seen = small_batches(pages).where("html is not null").select(_host().alias("host"), "html").mapInArrow(releasing(_stats), STATS)
+    values = seen.groupBy("host", "path", "value").agg(F.sum("n").alias("n"), F.sum("mass").alias("mass"), F.size(F.array_distinct(F.flatten(F.collect_list("pages")))).alias("differ"))
+    paths = values.groupBy("host", "path").agg(F.sum("n").alias("n"), F.sum("mass").alias("mass"), F.max(F.struct("n", "differ", "value", "mass")).alias("top"))
+    fixed = (F.col("top.differ") > 2) & (F.col("top.n") >= TEMPLATE_SHARE * F.col("n"))
+    paths = paths.select("host", "path", F.when(fixed, F.col("top.value")).alias("value"), (F.col("mass") - F.when(fixed, F.col("top.mass")).otherwise(0)).alias("mass"))
+    from fabula.llm.scratch import written
+
+    paths = written(paths, "paths")
+    steps = F.split("path", "/")
+    masses = paths.where((F.size(steps) > 1) & (F.col("mass") > 0)).select("host", F.explode(F.transform(F.sequence(F.lit(2), F.size(steps)), lambda k: F.array_join(F.slice(steps, 1, k), "/"))).alias("path"), "mass")
+    masses = masses.groupBy("host", "path").agg(F.sum("mass").alias("mass"))
+    most = masses.groupBy("host").agg((F.max("mass") * REGION_SHARE).alias("most"))
+    best = masses.join(most, "host").where("mass >= most").groupBy("host").agg(F.max(F.struct(F.size(F.split("path", "/")), "path"))["path"].alias("best"))
+    fixed = paths.groupBy("host").agg(F.map_from_entries(F.collect_list(F.when(F.col("value").isNotNull(), F.struct("path", "value")))).alias("template"))
+    return fixed.join(best, "host", "left").select("host", F.to_json(F.struct(F.coalesce("best", F.lit("")).alias("region"), "template")).alias("content"))
+
+
 @functools.lru_cache(5000)
-def _content(rules: str | None) -> dict[str, bool]:
-    return json.loads(rules) if rules else {}
+def _content(found: str | None) -> dict:
+    out = json.loads(found) if found else {}
+    return out | {"region": container(out["region"])} if out else out
 
 
-def main_text(pages: DataFrame, rules: DataFrame | None = None) -> DataFrame:
-    """pages: page_id, url, html. Returns page_id, url, text, n_chars."""
+def main_text(pages: DataFrame, known: DataFrame | None = None) -> DataFrame:
+    """pages: page_id, url, html. known: rules of the hosts, if not those of the pages themselves. Returns page_id, url, text, n_chars."""
     from fabula.llm.scratch import written
 
-    rules = written((wrappers(pages) if rules is None else rules).select("host", "content"), "wrappers")
-    size = rules.agg(F.sum(F.octet_length("content") + F.octet_length("host") + 64)).first()[0] or 0
-    rows = pages.select("page_id", "url", "html", _host().alias("host")).join(F.broadcast(rules) if size <= BROADCAST_BYTES else rules, "host", "left")
+    found = written((rules(pages) if known is None else known).select("host", "content"), "rules")
+    size = found.agg(F.sum(F.octet_length("content") + F.octet_length("host") + 64)).first()[0] or 0
+    rows = pages.select("page_id", "url", "html", _host().alias("host")).join(F.broadcast(found) if size <= BROADCAST_BYTES else found, "host", "left")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
