@@ -82,19 +82,14 @@ def backfill_until_full(spark: SparkSession, sf_dir: str) -> DataFrame:
     return selection.backfill(d, slots, "source", [F.col("n_chars"), F.col("doc_id")]).select("doc_id", "source", "ok", "ok_before")
 
 
-#: Rows that a greedy selection chooses from.
-GREEDY_POOL = 500
-
-
 @query()
 def gold_greedy(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A balanced gold set from the most famous titles; some forced to be labelled twice."""
+    """A balanced gold set from all titles; some forced to be labelled twice."""
     items = _items(spark, sf_dir).join(table(spark, sf_dir, "labels").select(F.col("doc_id").alias("id"), "quality", "toxic"), "id", "left")
     media = F.when(F.col("id") % 4 == 0, "tv_series").otherwise("movie")
     region = F.when(F.col("genre") == "en", "english").otherwise(F.col("genre"))
-    pool = items.orderBy(F.desc("fame"), "id").limit(GREEDY_POOL).select(
-        F.concat(F.lit("Q"), F.col("id").cast("string")).alias("qid"), media.alias("media_type"), region.alias("region"), F.col("quality").isNotNull().alias("seed"), F.col("cell").alias("plot"), F.col("genre").alias("arc"), "fame",
-    )
+    rows = items.select("id", F.concat(F.lit("Q"), F.col("id").cast("string")).alias("qid"), media.alias("media_type"), region.alias("region"), F.col("quality").isNotNull().alias("seed"), F.col("cell").alias("plot"), F.col("genre").alias("arc"), "fame")
+    pool = gold.choosable(rows, [F.desc("fame"), F.col("id")]).drop("id")
     return gold.select(pool, forced=frozenset({"Q5", "Q17", "Q100"}))
 
 
