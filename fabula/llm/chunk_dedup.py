@@ -3,8 +3,8 @@
 A gear rolling hash cuts each text where the last GEAR bytes say so, so an insertion
 moves no cut but those near it. A chunk's digest is compared with those of all other
 documents (see exchange), and the document of the smallest doc_id keeps it. Runs of
-neighbouring chunks that an earlier document has, RUN bytes long or more, are removed;
-shorter ones are chance repeats of a few words.
+neighbouring chunks that an earlier document has are removed if they are RUN bytes long or
+more, or a whole document; shorter ones inside a document are taken for chance repeats and stay.
 
 Nulls and empty texts have no chunks. Rows that share a doc_id never remove from each
 other; a null doc_id counts as larger than all others.
@@ -64,8 +64,8 @@ def _state(table: pa.Table):
     return data, off, rank, starts, ends, row, key, of, first
 
 
-def removal(dealt: X.Bucketed, shape, schema: str, run: int = RUN) -> DataFrame:
-    """shape(table of a bucket, its bytes, its offsets, mask of removed bytes) -> rows of schema."""
+def removal(dealt: X.Bucketed, shape, schema: str, run: int = RUN, whole: bool = False) -> DataFrame:
+    """shape(table of a bucket, its bytes, its offsets, mask of removed bytes) -> rows of schema. whole: shorter runs go too if they are their whole document."""
     n = dealt.buckets
 
     def publish(table: pa.Table) -> pa.Table:
@@ -80,7 +80,7 @@ def removal(dealt: X.Bucketed, shape, schema: str, run: int = RUN) -> DataFrame:
             new[1:] = (seen[1:] != seen[:-1]) | (row[1:] != row[:-1])
             s = np.flatnonzero(new)
             a, b = starts[s], ends[np.append(s[1:], len(seen)) - 1]
-            pick = seen[s] & (b - a >= run)
+            pick = seen[s] & ((b - a >= run) | whole & (b - a == np.diff(off)[row[s]]))
             mark = np.zeros(len(data) + 1, np.int8)
             np.add.at(mark, a[pick], 1)
             np.add.at(mark, b[pick], -1)
@@ -92,7 +92,7 @@ def removal(dealt: X.Bucketed, shape, schema: str, run: int = RUN) -> DataFrame:
 
 def chunk_dedup(docs: DataFrame, keep_body: bool = False, run: int = RUN) -> DataFrame:
     """docs: doc_id, text. One row per input row: sizes, spans and the hash of what is kept; with keep_body also the bytes and spans."""
-    return removal(X.bucketed(docs), lambda *x: cut_out(*x, keep_body), OUT, run)
+    return removal(X.bucketed(docs), lambda *x: cut_out(*x, keep_body), OUT, run, whole=True)
 
 
 def deduplicated(docs: DataFrame, run: int = RUN) -> DataFrame:
@@ -112,7 +112,7 @@ def deduplicated(docs: DataFrame, run: int = RUN) -> DataFrame:
         return out.filter(pa.array(keep))
 
     schema = ", ".join(["doc_id long", *[f"{k} {plain.schema[k].dataType.simpleString()}" for k in names], "text string"])
-    out = removal(X.bucketed(plain, X.BUCKET_BYTES, *names, "was_null"), shape, schema, run)
+    out = removal(X.bucketed(plain, X.BUCKET_BYTES, *names, "was_null"), shape, schema, run, whole=True)
     back = {c: F.col(k) for k, c in names.items()} | {"doc_id": F.col("doc_id").cast(docs.schema["doc_id"].dataType), "text": F.col("text")}
     if "n_chars" in names.values():
         back["n_chars"] = F.length("text").cast(docs.schema["n_chars"].dataType)
