@@ -45,34 +45,44 @@ def chunks(data: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarray, n
     return starts, ends, np.searchsorted(off, starts, "right") - 1
 
 
-def _keys(data: np.ndarray, off: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-    out = np.zeros(len(starts), np.uint64)
+def _keys(data: np.ndarray, off: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """64-bit digests of the chunks and 32 bits more."""
+    key, check = np.zeros(len(starts), np.uint64), np.zeros(len(starts), np.uint32)
     for i, j in X.pieces(off):
         s, t = np.searchsorted(starts, (off[i], off[j]))
         if s < t:
-            out[s:t] = H.between(H.prefix(data[off[i] : off[j]]), starts[s:t] - off[i], ends[s:t] - off[i])
-    return out
+            buf, x, y = data[off[i] : off[j]], starts[s:t] - off[i], ends[s:t] - off[i]
+            key[s:t] = H.between(H.prefix(buf), x, y)
+            check[s:t] = H.checks(buf, x, y)
+    return key, check
 
 
 def _state(table: pa.Table):
+    """Bytes, offsets and ranks of the rows; chunks; the distinct digests, their checks and least ranks, and the digest of each chunk."""
     data, off = X.bodies(table)
     rank = X.ranks(X.doc_ids(table))
     starts, ends, row = chunks(data, off)
-    key, of = np.unique(_keys(data, off, starts, ends), return_inverse=True)
-    first = np.full(len(key), len(rank), np.int64)
+    key, check = _keys(data, off, starts, ends)
+    o = np.lexsort((check, key))
+    new = np.ones(len(o), bool)
+    new[1:] = (key[o][1:] != key[o][:-1]) | (check[o][1:] != check[o][:-1])
+    of = np.empty(len(o), np.int64)
+    of[o] = np.cumsum(new) - 1
+    first = np.full(int(new.sum()), len(rank), np.int64)
     np.minimum.at(first, of, rank[row])
-    return data, off, rank, starts, ends, row, key, of, first
+    return data, off, rank, starts, ends, row, key[o][new], check[o][new], of, first
 
 
 def removal(dealt: X.Bucketed, shape, schema: str, run: int = RUN, whole: bool = False) -> DataFrame:
     """shape(table of a bucket, its bytes, its offsets, mask of removed bytes) -> rows of schema. whole: shorter runs go too if they are their whole document."""
-    n = dealt.buckets
+    n = dealt.digits
 
     def publish(table: pa.Table) -> pa.Table:
-        return X.publish(table.column("bucket")[0].as_py(), _state(table)[6], n)
+        *_, key, check, _, _ = _state(table)
+        return X.publish(table.column("bucket")[0].as_py(), key, n, check)
 
     def finish(table: pa.Table, reply: pa.Table) -> pa.Table:
-        data, off, rank, starts, ends, row, key, of, first = _state(table)
+        data, off, rank, starts, ends, row, _, _, of, first = _state(table)
         seen = (X.replies(reply) > 0)[of] | (rank[row] > first[of])
         gone = np.zeros(len(data), bool)
         if len(seen):

@@ -11,6 +11,8 @@ import numpy as np
 
 _B = 0x9E3779B97F4A7C15
 _INV = pow(_B, -1, 1 << 64)
+_B2 = 0xD1342543DE82EF95
+_INV2 = pow(_B2, -1, 1 << 64)
 _powers: dict[str, np.ndarray] = {}
 
 
@@ -24,6 +26,7 @@ def splitmix(seed: int, n: int) -> np.ndarray:
 
 
 TABLE = splitmix(20, 256) | np.uint64(1)
+TABLE2 = splitmix(1 << 40, 256) | np.uint64(1)
 
 
 def mix(x: np.ndarray) -> np.ndarray:
@@ -44,17 +47,22 @@ def _power(name: str, base: int, n: int) -> np.ndarray:
     return have[:n]
 
 
-def prefix(values: np.ndarray) -> np.ndarray:
-    """Prefix sums H (one longer than values) for ``between``; values: bytes, or 64-bit hashes of items."""
-    x = TABLE[values] if values.dtype == np.uint8 else values
+def prefix(values: np.ndarray, second: bool = False) -> np.ndarray:
+    """Prefix sums H (one longer than values) for ``between``; values: bytes, or 64-bit hashes of items. second: of another base and table, for checks."""
+    x = (TABLE2 if second else TABLE)[values] if values.dtype == np.uint8 else values
     out = np.zeros(len(x) + 1, np.uint64)
-    np.cumsum(x * _power("up", _B, len(x)), out=out[1:])
+    np.cumsum(x * (_power("up2", _B2, len(x)) if second else _power("up", _B, len(x))), out=out[1:])
     return out
 
 
-def between(h: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
+def between(h: np.ndarray, start: np.ndarray, end: np.ndarray, second: bool = False) -> np.ndarray:
     """Hashes of the substrings [start, end)."""
-    return mix((h[end] - h[start]) * _power("down", _INV, len(h))[start])
+    return mix((h[end] - h[start]) * (_power("down2", _INV2, len(h)) if second else _power("down", _INV, len(h)))[start])
+
+
+def checks(data: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
+    """32 more bits on substrings of bytes, independent of ``between``."""
+    return (between(prefix(data, True), start, end, True) >> np.uint64(32)).astype(np.uint32)
 
 
 def windows(h: np.ndarray, k: int) -> np.ndarray:

@@ -18,8 +18,26 @@ def folder(spark: SparkSession) -> str:
     return there.rstrip("/")
 
 
-def written(df: DataFrame, name: str) -> DataFrame:
-    """df as a Parquet table of its own; what is read of it later doesn't run df again."""
-    path = f"{folder(df.sparkSession)}/{name}-{uuid.uuid4().hex}"
+def place(spark: SparkSession, name: str) -> str:
+    return f"{folder(spark)}/{name}-{uuid.uuid4().hex}"
+
+
+def written(df: DataFrame, name: str, path: str | None = None) -> DataFrame:
+    """df as a Parquet table of its own; what is read of it later doesn't run df again. It is deleted when the driver ends, or by ``dropped``."""
+    spark = df.sparkSession
+    path = path or place(spark, name)
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    files, at = _files(spark, path)
+    files.deleteOnExit(at)
+    return spark.read.schema(df.schema).parquet(path)
+
+
+def _files(spark: SparkSession, path: str):
+    at = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), at
+
+
+def dropped(spark: SparkSession, path: str) -> None:
+    """Deletes a written table that nothing reads any more."""
+    files, at = _files(spark, path)
+    files.delete(at, True)

@@ -11,7 +11,13 @@ leaves, so almost all suffixes leave early:
    by the leading digit of their hash and grouped by radix passes on the rest.
 2. The second digit is what lies around the anchor: the bytes of all windows that chose
    it. Where every holder of an anchor has the same surroundings, the group is decided.
-3. Only in groups whose surroundings differ are whole windows compared, each as one entry.
+3. Only in groups whose surroundings differ are suffixes ordered by their bytes: inside a bucket
+   by most-significant-digit passes of eight bytes to the full depth, so that equal groups are
+   exact; one entry for each distinct window then meets those of other buckets.
+
+Between buckets a digit of many bytes travels as a hash: 96 bits decide in passes 2 (48 of the anchor
+and 48 of its surroundings) and 3 (64 and a check of 32). Digits of plain bytes would need seven
+exchanges, each of them as large as all anchors, against a limit of four times the input.
 
 Which bucket is earlier decides between buckets, doc_id within one; see exchange.
 
@@ -113,22 +119,49 @@ def resolve_anchors(table: pa.Table) -> pa.Table:
     m = X.meet(table)
     reply = np.full(len(m.key), ALONE, np.uint8)
     if len(m.starts):
-        size = np.diff(np.append(m.starts, len(m.order)))
-        tag, bucket = m.tag[m.order], m.bucket[m.order]
-        equal = (np.minimum.reduceat(tag, m.starts) == np.maximum.reduceat(tag, m.starts)) & (np.minimum.reduceat(tag, m.starts) > 0)
-        later = bucket > np.repeat(np.minimum.reduceat(bucket, m.starts), size)
-        reply[m.order] = np.where(np.repeat(equal, size), np.where(later, EQUAL_LATER, EQUAL_FIRST), MIXED)
+        size, tag = np.diff(np.append(m.starts, len(m.order))), m.tag[m.order]
+        least = np.minimum.reduceat(tag, m.starts)
+        equal = (least == np.maximum.reduceat(tag, m.starts)) & (least > 0)
+        reply[m.order] = np.where(np.repeat(equal, size), np.where(X.earlier(m), EQUAL_LATER, EQUAL_FIRST), MIXED)
     return X.answer(m, reply)
 
 
+def equal_suffixes(data: np.ndarray, at: np.ndarray, depth: int = WIDTH) -> np.ndarray:
+    """The group of each suffix among those whose first ``depth`` bytes are equal, numbered from 0.
+
+    Most-significant-digit passes over eight bytes each; a suffix that is alone after a pass leaves."""
+    group, alive, n = np.full(len(at), -1, np.int64), np.arange(len(at)), 0
+    tied = np.zeros(len(at), np.int64)  # group of those alive, so far
+    for k in range(0, depth, 8):
+        digit = np.zeros(len(alive), np.uint64)
+        for j in range(k, min(k + 8, depth)):
+            digit = (digit << np.uint64(8)) | data[at[alive] + j]
+        o = np.argsort(digit)
+        if k:
+            o = o[np.argsort(tied[o], kind="stable")]
+        first = np.ones(len(o), bool)
+        first[1:] = (digit[o][1:] != digit[o][:-1]) | (tied[o][1:] != tied[o][:-1])
+        size = np.diff(np.append(np.flatnonzero(first), len(o)))
+        alone = np.repeat(size == 1, size)
+        m = int(alone.sum())
+        group[alive[o[alone]]] = np.arange(n, n + m)
+        n += m
+        alive, tied = alive[o[~alone]], np.repeat(np.arange(int((size > 1).sum())), size[size > 1])
+        if not len(alive):
+            break
+    group[alive] = n + tied
+    return group
+
+
 @dataclass
 class Open:
-    """Windows that are compared whole. at: starts; of: distinct window of each; key: sorted; sent: which others may hold; first: least rank."""
+    """Windows that are compared whole. at: starts; doc: rows; of: distinct window of each; key, check: of those, keys sorted; sent: which others may hold; first: least rank."""
 
     at: np.ndarray
     doc: np.ndarray
     of: np.ndarray
     key: np.ndarray
+    check: np.ndarray
     sent: np.ndarray
     first: np.ndarray
 
@@ -139,57 +172,51 @@ def open_windows(data: np.ndarray, off: np.ndarray, a: Anchors, e: Entries, code
     lo, n = a.lo[pick], a.hi[pick] - a.lo[pick] + 1
     at = np.repeat(lo - np.append(0, np.cumsum(n)[:-1]), n) + np.arange(int(n.sum())) if len(pick) else np.zeros(0, np.int64)
     doc, mixed = np.repeat(a.doc[pick], n), np.repeat(c[pick] == MIXED, n)
-    key = np.zeros(len(at), np.uint64)
-    o = np.argsort(at)
+    of = equal_suffixes(data, at)
+    m = int(of.max()) + 1 if len(of) else 0
+    some = np.zeros(m, np.int64)  # any window of each group
+    some[of] = at
+    key, check = np.zeros(m, np.uint64), np.zeros(m, np.uint32)
+    o = np.argsort(some)
     for i, j in X.pieces(off):
-        s, t = np.searchsorted(at[o], (off[i], off[j]))
+        s, t = np.searchsorted(some[o], (off[i], off[j]))
         if s < t:
-            p = at[o[s:t]] - off[i]
-            key[o[s:t]] = H.between(H.prefix(data[off[i] : off[j]]), p, p + WIDTH)
+            buf, p = data[off[i] : off[j]], some[o[s:t]] - off[i]
+            key[o[s:t]] = H.between(H.prefix(buf), p, p + WIDTH)
+            check[o[s:t]] = H.checks(buf, p, p + WIDTH)
     o = np.argsort(key)
-    start = np.ones(len(o), bool)
-    start[1:] = key[o][1:] != key[o][:-1]
-    s, of = np.flatnonzero(start), np.empty(len(o), np.int64)
-    of[o] = np.cumsum(start) - 1
-    if not len(s):
-        return Open(at, doc, of, key, np.zeros(0, bool), np.zeros(0, np.int64))
-    return Open(at, doc, of, key[o][s], np.maximum.reduceat(mixed[o], s), np.minimum.reduceat(rank[doc][o], s))
+    place = np.empty(m, np.int64)
+    place[o] = np.arange(m)
+    of = place[of]
+    sent, first = np.zeros(m, bool), np.full(m, len(rank), np.int64)
+    sent[of[mixed]] = True
+    np.minimum.at(first, of, rank[doc])
+    return Open(at, doc, of, key[o], check[o], sent, first)
 
 
-def _state(table: pa.Table, bits: pa.Table | None):
+def _state(table: pa.Table):
     data, off = X.bodies(table)
     rank = X.ranks(X.doc_ids(table))
     a = anchors(data, off)
-    e = entries(a, rank)
-    return data, off, rank, a, e
-
-
-def _split(reply: pa.Table) -> tuple[pa.Table, pa.Table]:
-    """Answers to windows carry digits from 1 << 24 on."""
-    late = np.array(reply.column("digit").to_pylist(), np.int64) >= 1 << 24
-    return reply.filter(pa.array(~late)), reply.filter(pa.array(late))
+    return data, off, rank, a, entries(a, rank)
 
 
 def removal(dealt: X.Bucketed, keep_body: bool = False) -> DataFrame:
     """Rows of OUT for every row; kept and the spans are null unless asked for."""
-    n = dealt.buckets
+    n = dealt.digits
 
     def publish_anchors(table: pa.Table) -> pa.Table:
-        *_, e = _state(table, None)
+        *_, e = _state(table)
         return X.publish(table.column("bucket")[0].as_py(), e.key, n, e.around, bits=48)
 
     def publish_windows(key, table: pa.Table, reply: pa.Table) -> pa.Table:
-        data, off, rank, a, e = _state(table, reply)
+        data, off, rank, a, e = _state(table)
         w = open_windows(data, off, a, e, X.replies(reply), rank)
-        return X.publish(key[0].as_py(), w.key[w.sent], n)
-
-    def late(table: pa.Table) -> pa.Table:
-        out = X.resolve_earlier(table)
-        return out.set_column(1, "digit", pa.array([d + (1 << 24) for d in out.column("digit").to_pylist()], pa.int32()))
+        return X.publish(key[0].as_py(), w.key[w.sent], n, w.check[w.sent])
 
     def finish(table: pa.Table, reply: pa.Table) -> pa.Table:
-        data, off, rank, a, e = _state(table, reply)
-        first, second = _split(reply)
+        data, off, rank, a, e = _state(table)
+        first, second = X.parts(reply)
         code = X.replies(first)
         w = open_windows(data, off, a, e, code, rank)
         seen = np.zeros(len(w.key), bool)
@@ -204,9 +231,7 @@ def removal(dealt: X.Bucketed, keep_body: bool = False) -> DataFrame:
         np.add.at(mark, single + WIDTH, -1)
         return cut_out(table, data, off, np.cumsum(mark[:-1], dtype=np.int16) > 0, keep_body)
 
-    codes = X.ask(dealt, publish_anchors, resolve_anchors)
-    seen = dealt.rows.groupBy("bucket").cogroup(codes.groupBy("bucket")).applyInArrow(publish_windows, X.KEYS).groupBy("digit").applyInArrow(late, X.REPLY)
-    return X.with_replies(dealt, codes.unionByName(seen), finish, OUT)
+    return X.with_replies(dealt, X.ask_again(dealt, X.ask(dealt, publish_anchors, resolve_anchors), publish_windows, X.resolve_earlier), finish, OUT)
 
 
 def cut_out(table: pa.Table, data: np.ndarray, off: np.ndarray, gone: np.ndarray, keep_body: bool) -> pa.Table:
