@@ -82,7 +82,7 @@ def anchors(data: np.ndarray, off: np.ndarray) -> Anchors:
         lo, hi, a = p[s], p[np.append(s[1:], len(p)) - 1], a[s]
         around = H.mix(H.between(h, lo, hi + WIDTH) ^ ((a - lo) * 64 + hi - lo).astype(np.uint64))
         doc = i + np.searchsorted(ends, lo, "right")
-        parts.append((grams[a], around, doc, lo + base, hi + base))
+        parts.append((H.mix(grams[a]), around, doc, lo + base, hi + base))  # remixed, as least hashes are small and would share a digit
     if not parts:
         return Anchors(*(np.zeros(0, t) for t in (np.uint64, np.uint64, np.int64, np.int64, np.int64)))
     return Anchors(*map(np.concatenate, zip(*parts, strict=True)))
