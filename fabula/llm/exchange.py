@@ -39,7 +39,7 @@ BUCKET_BYTES = 6 << 20
 MOST_BUCKETS, DIGIT_SHARE, LEAST_DIGITS, CELLS, MOST_PARTITIONS, ROW_BYTES = 1 << 18, 4, 64, 2048, 1 << 15, 64
 #: A null doc_id counts as larger than every other; the first bucket of rows without one.
 NULL_ID, NULL_BUCKET = (1 << 63) - 1, 1 << 30
-KEYS = "digit int, bucket int, n int, low binary, high binary, tag binary"
+KEYS = "digit int, bucket int, n int, key binary, tag binary"
 REPLY = "bucket int, digit int, reply binary"
 
 
@@ -143,20 +143,30 @@ def _wide(x: np.ndarray) -> np.ndarray:
     return out
 
 
+def planes(x: np.ndarray) -> bytes:
+    """Numbers as byte planes, the lowest first, as many as the largest needs: high planes of small numbers are all alike and pack well."""
+    wide = -(-int(x.max()).bit_length() // 8) or 1
+    return np.ascontiguousarray(x.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :wide].T).tobytes()
+
+
+def from_planes(data: bytes, n: int) -> np.ndarray:
+    out = np.zeros((n, 8), np.uint8)
+    rows = np.frombuffer(data, np.uint8).reshape(-1, n)
+    out[:, : len(rows)] = rows.T
+    return out.view("<u8").ravel()
+
+
 def publish(bucket: int, keys: np.ndarray, n: int, tag: np.ndarray | None = None, bits: int = 64) -> pa.Table:
-    """Packed rows of sorted distinct keys; bits: 48 or 64, from the top. tag: what goes with the keys, a 48-bit number as uint64, or a check as uint32."""
+    """Packed rows of sorted distinct keys, as differences; bits: 48 or 64, from the top. tag: what goes with the keys, a 48-bit number as uint64, or a check as uint32."""
     cut = np.searchsorted(digits(keys, n), np.arange(n + 1, dtype=np.uint64))
     full = np.flatnonzero(np.diff(cut))
-    low, high = ((keys >> np.uint64(16)).astype("<u4"), (keys >> np.uint64(48)).astype("<u2")) if bits == 48 else (keys.astype("<u4"), (keys >> np.uint64(32)).astype("<u4"))
+    short = keys >> np.uint64(64 - bits)
     tags = b"" if tag is None else (_wide(tag) if tag.dtype == np.uint64 else tag.astype("<u4")).tobytes()
     width = 0 if tag is None else 6 if tag.dtype == np.uint64 else 4
-
-    def packed(data: bytes, each: int) -> pa.Array:
-        return pa.array([data[each * cut[k] : each * cut[k + 1]] for k in full], pa.binary())
-
     return pa.table({
         "digit": pa.array(full, pa.int32()), "bucket": pa.array(np.full(len(full), bucket), pa.int32()), "n": pa.array(np.diff(cut)[full], pa.int32()),
-        "low": packed(low.tobytes(), 4), "high": packed(high.tobytes(), bits // 8 - 4), "tag": packed(tags, width),
+        "key": pa.array([planes(np.append(short[cut[k]], np.diff(short[cut[k] : cut[k + 1]]))) for k in full], pa.binary()),
+        "tag": pa.array([tags[width * cut[k] : width * cut[k + 1]] for k in full], pa.binary()),
     })
 
 
@@ -201,12 +211,11 @@ def equal_groups(key: np.ndarray, check: np.ndarray | None = None) -> tuple[np.n
 
 def meet(table: pa.Table) -> Meeting:
     counts, buckets = np.asarray(table.column("n")), np.asarray(table.column("bucket"))
-    low, high, tags = (bodies(table, c)[0] for c in ("low", "high", "tag"))
-    total = int(counts.sum())
-    if len(high) == 4 * total:
-        key = (high.view("<u4").astype(np.uint64) << np.uint64(32)) | low.view("<u4")
-    else:
-        key = (high.view("<u2").astype(np.uint64) << np.uint64(48)) | (low.view("<u4").astype(np.uint64) << np.uint64(16))
+    total, cut = int(counts.sum()), np.append(0, np.cumsum(counts))
+    key = np.empty(total, np.uint64)
+    for k, data in enumerate(table.column("key")):
+        np.cumsum(from_planes(data.as_buffer(), int(counts[k])), out=key[cut[k] : cut[k + 1]])
+    tags = bodies(table, "tag")[0]
     tag = check = None
     if len(tags) == 6 * total:
         six = tags.reshape(-1, 6)

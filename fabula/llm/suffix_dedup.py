@@ -11,9 +11,10 @@ leaves, so almost all suffixes leave early:
    by the leading digit of their hash and grouped by radix passes on the rest.
 2. The second digit is what lies around the anchor: the bytes of all windows that chose
    it. Where every holder of an anchor has the same surroundings, the group is decided.
-3. Only in groups whose surroundings differ are suffixes ordered by their bytes: inside a bucket
-   by most-significant-digit passes of eight bytes to the full depth, so that equal groups are
-   exact; one entry for each distinct window then meets those of other buckets.
+3. Only in groups whose surroundings differ are whole suffixes ordered. Inside a bucket those whose
+   hashes tie are ordered by their bytes, in most-significant-digit passes of eight to the full
+   depth, so that equal groups are exact; one entry for each distinct window then meets those of
+   other buckets.
 
 Between buckets a digit of many bytes travels as a hash: 96 bits decide in passes 2 (48 of the anchor
 and 48 of its surroundings) and 3 (64 and a check of 32). Digits of plain bytes would need seven
@@ -126,19 +127,18 @@ def resolve_anchors(table: pa.Table) -> pa.Table:
     return X.answer(m, reply)
 
 
-def equal_suffixes(data: np.ndarray, at: np.ndarray, depth: int = WIDTH) -> np.ndarray:
-    """The group of each suffix among those whose first ``depth`` bytes are equal, numbered from 0.
+def equal_suffixes(data: np.ndarray, at: np.ndarray, tied: np.ndarray, depth: int = WIDTH) -> np.ndarray:
+    """The group of each suffix among those that are tied before and whose first ``depth`` bytes are equal, numbered from 0.
 
     Most-significant-digit passes over eight bytes each; a suffix that is alone after a pass leaves."""
     group, alive, n = np.full(len(at), -1, np.int64), np.arange(len(at)), 0
-    tied = np.zeros(len(at), np.int64)  # group of those alive, so far
     for k in range(0, depth, 8):
+        if not len(alive):
+            break
         digit = np.zeros(len(alive), np.uint64)
         for j in range(k, min(k + 8, depth)):
             digit = (digit << np.uint64(8)) | data[at[alive] + j]
-        o = np.argsort(digit)
-        if k:
-            o = o[np.argsort(tied[o], kind="stable")]
+        o = np.lexsort((digit, tied))
         first = np.ones(len(o), bool)
         first[1:] = (digit[o][1:] != digit[o][:-1]) | (tied[o][1:] != tied[o][:-1])
         size = np.diff(np.append(np.flatnonzero(first), len(o)))
@@ -147,8 +147,6 @@ def equal_suffixes(data: np.ndarray, at: np.ndarray, depth: int = WIDTH) -> np.n
         group[alive[o[alone]]] = np.arange(n, n + m)
         n += m
         alive, tied = alive[o[~alone]], np.repeat(np.arange(int((size > 1).sum())), size[size > 1])
-        if not len(alive):
-            break
     group[alive] = n + tied
     return group
 
@@ -172,26 +170,34 @@ def open_windows(data: np.ndarray, off: np.ndarray, a: Anchors, e: Entries, code
     lo, n = a.lo[pick], a.hi[pick] - a.lo[pick] + 1
     at = np.repeat(lo - np.append(0, np.cumsum(n)[:-1]), n) + np.arange(int(n.sum())) if len(pick) else np.zeros(0, np.int64)
     doc, mixed = np.repeat(a.doc[pick], n), np.repeat(c[pick] == MIXED, n)
-    of = equal_suffixes(data, at)
-    m = int(of.max()) + 1 if len(of) else 0
-    some = np.zeros(m, np.int64)  # any window of each group
-    some[of] = at
-    key, check = np.zeros(m, np.uint64), np.zeros(m, np.uint32)
-    o = np.argsort(some)
+    key, check = np.zeros(len(at), np.uint64), np.zeros(len(at), np.uint32)
+    o = np.argsort(at)
     for i, j in X.pieces(off):
-        s, t = np.searchsorted(some[o], (off[i], off[j]))
+        s, t = np.searchsorted(at[o], (off[i], off[j]))
         if s < t:
-            buf, p = data[off[i] : off[j]], some[o[s:t]] - off[i]
+            buf, p = data[off[i] : off[j]], at[o[s:t]] - off[i]
             key[o[s:t]] = H.between(H.prefix(buf), p, p + WIDTH)
             check[o[s:t]] = H.checks(buf, p, p + WIDTH)
+    # a hash of all bytes is the first digit; where it ties, the bytes themselves are the next
     o = np.argsort(key)
+    new = np.ones(len(o), bool)
+    new[1:] = key[o][1:] != key[o][:-1]
+    size = np.diff(np.append(np.flatnonzero(new), len(o)))
+    tie = np.repeat(size > 1, size)
+    of = np.empty(len(o), np.int64)
+    of[o[~tie]] = np.arange(int((~tie).sum()))
+    of[o[tie]] = int((~tie).sum()) + equal_suffixes(data, at[o[tie]], np.repeat(np.arange(int((size > 1).sum())), size[size > 1]))
+    m = int(of.max()) + 1 if len(of) else 0
+    some = np.zeros(m, np.int64)  # any window of each group
+    some[of] = np.arange(len(at))
+    o = np.argsort(key[some])
     place = np.empty(m, np.int64)
     place[o] = np.arange(m)
-    of = place[of]
+    of, some = place[of], some[o]
     sent, first = np.zeros(m, bool), np.full(m, len(rank), np.int64)
     sent[of[mixed]] = True
     np.minimum.at(first, of, rank[doc])
-    return Open(at, doc, of, key[o], check[o], sent, first)
+    return Open(at, doc, of, key[some], check[some], sent, first)
 
 
 def _state(table: pa.Table):
