@@ -5,6 +5,8 @@ moves no cut but those near it. A chunk's digest is compared with those of all o
 documents (see exchange), and the document of the smallest doc_id keeps it. Runs of
 neighbouring chunks that an earlier document has are removed if they are RUN bytes long or
 more, or a whole document; shorter ones inside a document are taken for chance repeats and stay.
+RUN is half of a passage of 50 short words, so that a passage is still found when both its ends are
+lost with chunks that reach beyond it.
 
 Nulls and empty texts have no chunks. Rows that share a doc_id never remove from each
 other; a null doc_id counts as larger than all others.
@@ -22,7 +24,7 @@ from fabula.llm import hashing as H
 from fabula.llm.suffix_dedup import OUT, cut_out
 
 #: Bytes that decide a cut (one bit of the hash each), bits that must be zero for one (a chunk in 2**BITS bytes), bytes of the shortest run removed.
-GEAR, BITS, RUN = 16, 5, 64
+GEAR, BITS, RUN = 16, 4, 160
 _TABLE = (H.splitmix(8, 256) >> np.uint64(48)).astype(np.uint16)
 
 

@@ -161,3 +161,37 @@ def test_vector_search(spark, n, dims):
 def test_shards_hold_all_lists():
     first, parts = ivf_pq.shards({0: 10, 1: 20, 2: 9000, 3: 5}, 5, 100)
     assert parts == [1, 1, 90, 1, 1] and first[:3] == [0, 0, 1] and first[3] == first[4] == 91
+
+
+@pytest.mark.parametrize("n", [1, 2, 10, 11, 16, 24, 30])
+def test_vector_search_is_complete(spark, n):
+    x = np.random.default_rng(n).normal(size=(n, 8))
+    df = spark.createDataFrame([(k, v.tolist(), "x", 1) for k, v in enumerate(x)], "vec_id long, embedding array<float>, v string, list int")
+    got = ivf_pq.search(df, every=5).collect()
+    for q in range(0, n, 5):
+        assert sorted(r.rank for r in got if r.query_id == q) == list(range(1, min(10, n - 1) + 1))
+
+
+def test_vector_search_with_repeats_ties_and_sizes(spark):
+    data = [(0, [3.0, 4.0]), (0, [0.0, 1.0]), (0, [0.0, 1.0])] + [(k, [0.0, 2.0]) for k in range(1, 40)] + [(100, [1.0, 0.0, 0.0]), (101, [2.0, 0.0, 0.0]), (None, [1.0, 1.0])]
+    got = ivf_pq.search(spark.createDataFrame(data, "vec_id long, embedding array<double>")).orderBy("query_id", "rank").collect()
+    assert [(r.query_id, r.rank, r.vec_id, r.score) for r in got] == [(0, k, k, 1.0) for k in range(1, 11)] + [(100, 1, 101, 1.0)]
+
+
+def test_vector_search_recall(spark):
+    table = spark.read.parquet("/root/testdata/sf0.1/embeddings.parquet")
+    rows_ = [(r[0], r[1]) for r in table.select("vec_id", "embedding").collect() if r[1] is not None and all(e is not None and np.isfinite(e) for e in r[1]) and any(r[1])]
+    ids, x = np.array([r[0] for r in rows_]), np.array([r[1] for r in rows_], np.float64)
+    got = {}
+    for r in ivf_pq.search(table).collect():
+        got.setdefault(r.query_id, {})[r.vec_id] = r.score
+    hit = total = 0
+    for q in np.flatnonzero(ids % 100 == 0):
+        d = np.sqrt(((x - x[q]) ** 2).sum(1))
+        d[q] = np.inf
+        best = np.lexsort((ids, d))[:10]
+        mine = got[ids[q]]
+        assert len(mine) == 10 and all(abs(mine[i] - d[np.flatnonzero(ids == i)[0]]) < 1e-12 for i in mine)
+        hit += len(set(ids[best].tolist()) & set(mine))
+        total += 10
+    assert hit >= 0.95 * total
