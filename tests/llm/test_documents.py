@@ -167,6 +167,37 @@ def test_mixing_meets_the_budget(spark, docs):
     assert temperature.remixed(docs).columns == docs.columns
 
 
+def test_positions_permute_each_block(docs):
+    got = temperature.mixed(docs, blocks=4).collect()
+    for b in range(4):
+        rows_ = sorted((r.position, r.source or "", r.doc_id or -1) for r in got if r.block == b)
+        assert [p for p, *_ in rows_] == list(range(len(rows_)))
+        order = [s for _, s, _ in rows_]
+        assert sum(x != y for x, y in zip(order, order[1:])) > len(set(order))  # sources alternate
+    assert len(got) == temperature.remixed(docs).count()
+
+
+def test_mixing_weights_by_brute_force(spark):
+    import numpy as np
+
+    for sizes in ([900, 100, 100, 10], [50, 50], [1000, 990, 980], [7], [400, 3, 3, 3, 0]):
+        src = spark.createDataFrame([(f"s{k}", n) for k, n in enumerate(sizes)], "source string, n_tokens long")
+        for spread, repeats in ((0.98, 2.0), (0.98, 1e9), (0.5, 3.0), (1.0, 1.0)):
+            p = np.array([n for n in sizes if n], float) / sum(sizes)
+            grid = np.linspace(0, 1, 20001)
+            w = p[None] ** grid[:, None]
+            w /= w.sum(1, keepdims=True)
+            effective = np.exp(-(w * np.log(w)).sum(1))
+            at_entropy = grid[effective >= spread * len(p) - 1e-9].max(initial=0)
+            at_repeats = grid[(p.max() / p.min()) ** (1 - grid) <= repeats + 1e-9].min()
+            want = max(at_entropy, at_repeats)
+            got = temperature.plan(src, spread, repeats).orderBy("source").collect()
+            assert all(abs(r.a - want) < 2e-4 for r in got)
+            weights = [r.weight for r in got]
+            assert abs(sum(weights) - 1) < 1e-9 and all((r.weight == 0) == (r.n_tokens == 0) for r in got)
+            assert all(r.n_tokens <= r.budget <= repeats * r.n_tokens + 1 for r in got)
+
+
 @pytest.mark.parametrize("run", [suffix_dedup.suffix_dedup, chunk_dedup.chunk_dedup, chunk_dedup.deduplicated, ngram_jaccard.jaccard_components, temperature.mixed, temperature.remixed])
 def test_empty_table(spark, docs, run):
     assert run(docs.limit(0)).count() == 0
