@@ -14,9 +14,12 @@ where a frame brings none, dequantisation and an inverse cosine transform to lum
 
 Shots: histograms of neighbouring frames differ by half the sum of their bins' differences; a frame
 begins a shot where this exceeds both FLOOR and the mean of the last SPAN differences by SIGMAS of
-their standard deviations. A clip row has its frames and times.
+their standard deviations. Histograms are those of decoded luma for all frames; the transform is a
+product of whole numbers, so equal frames give equal samples on every machine. A clip row has its
+frames and times.
 
-Null texts are stored as empty ones: one frame of padding.
+Null texts are stored as empty ones: one frame of padding. Null ids stay null, repeated rows repeat
+their result, other columns are not read, an empty table has no rows.
 """
 
 from __future__ import annotations
@@ -289,22 +292,39 @@ def coefficients(jpeg: bytes) -> tuple[dict[int, np.ndarray], dict[int, dict], t
     return out, comps, shape
 
 
+#: The inverse cosine transform of a block, from coefficients in zigzag order to samples by row, in units of 2 ** -13. Whole numbers, so that sums are exact in any order.
+_SCALE = 1 << 13
+_INVERSE = np.rint(np.einsum("ku,lv->kluv", _COSINE, _COSINE).reshape(64, 64)[ZIGZAG] * _SCALE)
+
+
+def samples(blocks: np.ndarray) -> np.ndarray:
+    """8-bit samples of dequantised blocks (rows of 64 coefficients)."""
+    out = np.empty(blocks.shape, np.uint8)
+    for k in range(0, len(blocks), 8192):
+        x = blocks[k : k + 8192].astype(np.float64) @ _INVERSE
+        out[k : k + 8192] = np.clip(np.floor(x / _SCALE + 0.5) + 128, 0, 255)
+    return out
+
+
 def luma(jpeg: bytes) -> np.ndarray:
     """The first component of a frame as 8-bit samples."""
     blocks, comps, (high, wide) = coefficients(jpeg)
     i = next(iter(comps))
-    plain = np.zeros(blocks[i].shape)
-    plain[..., ZIGZAG] = blocks[i] * np.array(comps[i]["table"])
-    x = plain.reshape(*plain.shape[:2], 8, 8)
-    x = np.einsum("ku,rckl,lv->rucv", _COSINE, x, _COSINE)
-    x = np.clip(np.rint(x + 128), 0, 255).astype(np.uint8)
-    return x.reshape(x.shape[0] * 8, -1)[:high, :wide]
-
-
-def histograms(samples: np.ndarray, frames: int) -> np.ndarray:
-    """Shares of BINS levels by frame; samples: bytes of all frames, one after another."""
-    per = len(samples) // frames
-    level = samples.reshape(frames, per) >> (8 - BINS.bit_length() + 1)
+    rows, cols = blocks[i].shape[:2]
+    x = samples((blocks[i] * np.array(comps[i]["table"])).reshape(-1, 64)).reshape(rows, cols, 8, 8)
+    return x.transpose(0, 2, 1, 3).reshape(rows * 8, cols * 8)[:high, :wide]
+
+
+def stored_luma(stored: np.ndarray) -> np.ndarray:
+    """The samples of frames whose stored bytes unpack has read: the same as luma of each, all at once, block by block."""
+    c = stored.reshape(-1, 64).astype(np.int16)
+    return samples(np.where(c < 128, c - 255, c)).ravel()
+
+
+def histograms(luma: np.ndarray, frames: int) -> np.ndarray:
+    """Shares of BINS levels by frame; luma: samples of all frames, one after another."""
+    per = len(luma) // frames
+    level = luma.reshape(frames, per) >> (8 - BINS.bit_length() + 1)
     return np.bincount((np.arange(frames)[:, None] * BINS + level).ravel(), minlength=frames * BINS).reshape(frames, BINS) / per
 
 
@@ -323,17 +343,17 @@ def shots(h: np.ndarray) -> np.ndarray:
     return np.append(0, np.flatnonzero(cut) + 1)
 
 
-def clip_frames(media: bytes) -> tuple[np.ndarray, int, int]:
-    """First frames of the shots of a file, its frames, microseconds of a frame."""
-    frames, micros = read_avi(media)
+def shots_of(frames: list[bytes], stored: np.ndarray | None) -> np.ndarray:
+    """First frames of the shots, by the histograms of decoded luma. stored: what unpack gave."""
     if not frames:
-        return np.zeros(0, np.int64), 0, micros
-    stored = unpack(frames)
-    if stored is not None:
-        h = histograms(stored, len(frames))
-    else:
-        h = np.stack([histograms(luma(f).ravel(), 1)[0] for f in frames])
-    return shots(h), len(frames), micros
+        return np.zeros(0, np.int64)
+    return shots(histograms(stored_luma(stored), len(frames)) if stored is not None else np.stack([histograms(luma(f).ravel(), 1)[0] for f in frames]))
+
+
+def clip_rows(first: np.ndarray, n: int, micros: int) -> list[tuple[int, int, int, float, float]]:
+    """clip, first and last frame, start and end in milliseconds."""
+    ends = [*first[1:].tolist(), n]
+    return [(k, a, z - 1, a * micros / 1000, z * micros / 1000) for k, (a, z) in enumerate(zip(first.tolist(), ends, strict=True))] if n else []
 
 
 def encode(docs: DataFrame) -> DataFrame:
@@ -356,35 +376,38 @@ def clips(media: DataFrame) -> DataFrame:
         for b in batches:
             rows: list[list] = [[], [], [], [], [], []]
             for i, m in zip(b.column("doc_id").to_pylist(), b.column("media").to_pylist(), strict=True):
-                first, n, micros = clip_frames(m) if m is not None else ([], 0, 0)
-                for k, a in enumerate(first):
-                    z = int(first[k + 1]) if k + 1 < len(first) else n
-                    for x, y in zip(rows, (i, k, int(a), z - 1, int(a) * micros / 1000, z * micros / 1000), strict=True):
+                frames, micros = read_avi(m) if m is not None else ([], 0)
+                for r in clip_rows(shots_of(frames, unpack(frames)), len(frames), micros):
+                    for x, y in zip(rows, (i, *r), strict=True):
                         x.append(y)
             yield pa.record_batch([pa.array(x, t) for x, t in zip(rows, (pa.int64(), pa.int32(), pa.int32(), pa.int32(), pa.float64(), pa.float64()), strict=True)], ["doc_id", "clip", "first_frame", "last_frame", "start_ms", "end_ms"])
 
     return media.select("doc_id", "media").mapInArrow(releasing(run), "doc_id long, clip int, first_frame int, last_frame int, start_ms double, end_ms double")
 
 
-DIGEST = "doc_id long, n_bytes long, payload_bytes long, payload_sha256 string, tail_crc32 long, media_bytes long, media_sha256 string, feature string"
+CLIP = [("clip", pa.int32(), "int"), ("first_frame", pa.int32(), "int"), ("last_frame", pa.int32(), "int"), ("start_ms", pa.float64(), "double"), ("end_ms", pa.float64(), "double")]
+DIGEST = "doc_id long, n_bytes long, payload_bytes long, payload_sha256 string, tail_crc32 long, media_bytes long, media_sha256 string, feature string, clips array<struct<" + ",".join(f"{n}:{t}" for n, _, t in CLIP) + ">>"
 
 
 def digests(media: DataFrame) -> DataFrame:
-    """media: doc_id, n_bytes, media. Sizes, hashes and shots of what is read back from the files."""
+    """media: doc_id, n_bytes, media. Sizes, hashes and shots of what is read back from the files, and the shots as timed clip rows."""
+    clip = pa.list_(pa.struct([(n, t) for n, t, _ in CLIP]))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            out: list[list] = [[], [], [], [], [], []]
+            out: list[list] = [[], [], [], [], [], [], []]
             for m in b.column("media").to_pylist():
-                frames, _ = read_avi(m)
+                frames, micros = read_avi(m)
                 stored = unpack(frames)
-                first = shots(histograms(stored, len(frames)))
+                first = shots_of(frames, stored)
                 raw = stored.tobytes()
                 feature = f"frames={len(frames)};shots=" + ",".join(map(str, first.tolist()))
-                for x, y in zip(out, (len(raw), hashlib.sha256(raw).hexdigest(), zlib.crc32(raw[-32:]), len(m), hashlib.sha256(m).hexdigest(), feature), strict=True):
+                rows = [dict(zip((n for n, *_ in CLIP), r, strict=True)) for r in clip_rows(first, len(frames), micros)]
+                for x, y in zip(out, (len(raw), hashlib.sha256(raw).hexdigest(), zlib.crc32(raw[-32:]), len(m), hashlib.sha256(m).hexdigest(), feature, rows), strict=True):
                     x.append(y)
-            kinds = (pa.int64(), pa.string(), pa.int64(), pa.int64(), pa.string(), pa.string())
-            yield pa.record_batch([b.column("doc_id"), b.column("n_bytes"), *[pa.array(x, t) for x, t in zip(out, kinds, strict=True)]], [c.split()[0] for c in DIGEST.split(", ")])
+            kinds = (pa.int64(), pa.string(), pa.int64(), pa.int64(), pa.string(), pa.string(), clip)
+            names = ["payload_bytes", "payload_sha256", "tail_crc32", "media_bytes", "media_sha256", "feature", "clips"]
+            yield pa.record_batch([b.column("doc_id"), b.column("n_bytes"), *[pa.array(x, t) for x, t in zip(out, kinds, strict=True)]], ["doc_id", "n_bytes", *names])
 
     return media.select("doc_id", "n_bytes", "media").mapInArrow(releasing(run), DIGEST)
 

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import hashlib
 import random
+import zlib
 
 import numpy as np
 import public_tokenizers
@@ -55,6 +56,33 @@ def test_media_round_trip(docs):
     assert len(got) == len(rows()) and all(by_size[r.doc_id, r.n_bytes] == r.payload_sha256 and r.payload_bytes % 576 == 0 for r in got)
 
 
+def test_media_digests_by_brute_force(spark, docs):
+    def slow(text):
+        b = (text or "").encode()
+        p = b + b"\xff" * (max(1, -(-len(b) // 576)) * 576 - len(b))
+        media = mjpeg.write_avi(mjpeg.write_frames(np.frombuffer(p, np.uint8)))
+        frames = mjpeg.read_avi(media)[0]
+        h = []
+        for f in frames:  # by the general decoder
+            level = (mjpeg.luma(f).astype(int) // 16).ravel().tolist()
+            h.append([level.count(k) / 576 for k in range(16)])
+        d = [sum(abs(x - y) for x, y in zip(a, b, strict=True)) / 2 for a, b in zip(h, h[1:])]
+        first = [0]
+        for k, x in enumerate(d):
+            last = d[max(0, k - 8) : k]
+            if k and x > 0.2 and x > np.mean(last) + 3 * np.std(last) + 1e-12:
+                first.append(k + 1)
+        return zlib.crc32(p[-32:]), len(media), hashlib.sha256(media).hexdigest(), f"frames={len(frames)};shots=" + ",".join(map(str, first)), [(k, a, z - 1, a * 40.0, z * 40.0) for k, (a, z) in enumerate(zip(first, [*first[1:], len(frames)], strict=True))]
+
+    loud = "a" * 5760 + "~\x01" * 2880 + "zz" * 2000
+    data = [(k, t) for k, t in enumerate([None, "", "short", rows()[0][1], rows()[7][1], "ab" * 3000, loud, loud, "é" * 40000])] + [(None, "no id")]
+    got = mjpeg.digests(mjpeg.encode(spark.createDataFrame(data, "doc_id long, text string"))).collect()
+    want = sorted((str(i), *slow(t)) for i, t in data)
+    assert sorted((str(r.doc_id), r.tail_crc32, r.media_bytes, r.media_sha256, r.feature, [tuple(c) for c in r.clips]) for r in got) == want
+    assert any("," in w[4] for w in want)
+    assert mjpeg.digests(mjpeg.encode(docs.limit(0))).count() == 0
+
+
 def test_media_is_baseline_jpeg_in_avi():
     rng = np.random.default_rng(1)
     for payload in (mjpeg.padded(b""), mjpeg.padded(rng.integers(0, 256, 3000, dtype=np.uint8).tobytes()), mjpeg.padded(b"\xff" * 600)):
@@ -67,6 +95,8 @@ def test_media_is_baseline_jpeg_in_avi():
             c = mjpeg.coefficients(f)[0][1].ravel()
             assert (np.where(c < 0, c + 255, c) == payload[k * 576 : (k + 1) * 576]).all()
             assert mjpeg.luma(f).shape == (24, 24)
+            blocks = mjpeg.stored_luma(payload[k * 576 : (k + 1) * 576]).reshape(3, 3, 8, 8).transpose(0, 2, 1, 3).reshape(24, 24)
+            assert (mjpeg.luma(f) == blocks).all()
 
 
 def test_shots_of_a_cut():
@@ -76,7 +106,10 @@ def test_shots_of_a_cut():
 
 
 def test_clip_rows(spark):
-    s = np.concatenate([np.full(576, 20, np.uint8)] * 10 + [np.full(576, 220, np.uint8)] * 5)
+    dark = np.full((9, 64), 128, np.uint8)  # bytes of 128 are coefficients of 128
+    light = dark.copy()
+    light[:, 0] = 20  # the mean of a block: -235
+    s = np.concatenate([dark.ravel()] * 10 + [light.ravel()] * 5)
     media = mjpeg.write_avi(mjpeg.write_frames(s))
     got = mjpeg.clips(spark.createDataFrame([(1, bytearray(media)), (2, None)], "doc_id long, media binary")).orderBy("clip").collect()
     assert [(r.first_frame, r.last_frame, r.start_ms, r.end_ms) for r in got] == [(0, 9, 0.0, 400.0), (10, 14, 400.0, 600.0)]
