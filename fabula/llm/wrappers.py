@@ -1,46 +1,58 @@
-"""HTML extraction by rules on the paths of elements, with statistics of each host.
-
-A page with text in an article or main element keeps what stands there, without menus, headers,
-footers, sidebars, adverts, notices, forms and comments. Other pages keep what stands in the main
-region of their host: the deepest container that holds most of the text of all such pages of the
-host. Text that TEMPLATE_SHARE of them have alike at the same path, three different pages at least,
-is template text and goes, unless nothing else is left. A page that has less than half of its text in the
-host's region also keeps its own main region, found in the same way.
-
-The statistics are taken from all pages, added up by path before the shuffle. Numbers in ids, as
-in post-123, are no part of a path. Character references are decoded, white space inside a block
-becomes one blank, and blocks are joined by newlines.
-
-A host's wrapper, a union-free regular expression (neighbouring equal groups repeated, what one
-side lacks optional, texts as slots), is inferred by ``infer`` and ``wrappers`` from a few pages to be
-looked at; it doesn't decide what is extracted.
+"""HTML extraction by wrappers: union-free regular expressions inferred from all pages of a host.
+
+A page's tokens are read as a tree of blocks, in which neighbouring paragraphs, items or rows are one
+repeated group; that is a wrapper of one page. Wrappers of pages of one host are aligned, element by
+element from the root: what is equal stays. At a mismatch neighbouring elements or groups of
+elements that are alike become one repeated group, on both sides; what one side still lacks becomes
+optional, and text is a slot. Every slot adds up what stood there: pages,
+characters, characters of links, and its commonest values. Alignment is a merge, so each task folds the
+pages it reads into one wrapper a host, and these are aligned in two more rounds; no host is in one
+task with its pages, and all pages of a host take part.
+
+A host's wrapper says which slots are article:
+- Its region is what stands in article or main elements; where there are none, the deepest container that holds
+  more than half of the text of slots that are no links, no template (one value on nearly all pages), and not
+  named as boilerplate. A container with paragraphs of its own is not entered further, and one without a
+  heading gives way to the next one that has one.
+- In the region all slots are kept, but for elements that are boilerplate by themselves (DROPPED, PLAIN) and,
+  where the region was found by its text, lists of links and template text that at least three different pages share; headings stay.
+
+Every page is then parsed by the wrapper of its host: its blocks are aligned with the wrapper's, and the texts of
+those bound to kept slots are the result. Where that is less than half of a page's text, template text
+aside, and the page has no article or main element, the page's own wrapper decides as well.
+
+Character references are decoded, white space inside a block becomes one blank, and blocks are joined
+by newlines. Numbers in ids, as in post-123, are no part of a symbol. An element with more than LIMIT
+different groups of children becomes one repeated group of optional ones, and with more than LIMIT symbols
+their classes are left out, so wrappers stay small however pages differ. Elements deeper than DEPTH
+belong to the one at that depth. Nothing is cut.
 
 Null pages and pages without content give an empty text. Pages without a url share the host "".
-Repeated rows repeat their result.
+Repeated rows repeat their result; an empty table has no rows; other columns are not read.
 """
 
 from __future__ import annotations
 
 import functools
-import hashlib
 import html as entities
 import json
 import re
-from collections import defaultdict
+import zlib
+from collections import Counter
 from collections.abc import Iterator
 from difflib import SequenceMatcher
 
-import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from fabula.llm.memory import releasing, small_batches
+from fabula.llm.memory import freeing, releasing, small_batches
+from fabula.llm.scratch import written
 
-#: Most pages that a wrapper to be looked at is inferred from; longest repeated group in tokens; most tokens of such a page after repeats are joined; bytes of all rules up to which they are broadcast.
-SAMPLE_PAGES, LONGEST, MOST_TOKENS, BROADCAST_BYTES = 12, 24, 2000, 8 << 20
-#: Share of pages that have template text alike; share of the text that a main region holds; entries that a task adds up before it hands them on.
-TEMPLATE_SHARE, REGION_SHARE, ENTRIES = 0.9, 0.8, 50_000
+#: Longest repeated group in children; most groups of children, and most symbols of them; depth; wrappers of pages that a task holds before it aligns them; groups into which a host's partial wrappers are dealt; bytes of all wrappers up to which they are broadcast.
+LONGEST, LIMIT, DEPTH, HELD, SALTS, BROADCAST_BYTES = 6, 64, 120, 200, 64, 8 << 20
+#: Share of a container's text that makes its child the region; share of pages from which a value is template text (counts are kept for VALUES values, which makes them at most a fifth too small); share of own paragraphs at which a container is not entered.
+REGION_SHARE, TEMPLATE_SHARE, VALUES, OWN_SHARE = 0.5, 0.8, 4, 0.2
 
 TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<![^>]*>|<\?[^>]*>|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>", re.S)
 MARK = re.compile(r"\b(class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+))", re.I)
@@ -52,260 +64,483 @@ INLINE = frozenset("a abbr acronym b bdi bdo big cite code data del dfn em font
 SELF_ENDING = {"p": {"p"}, "li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"}, "option": {"option"}}
 SCOPES = frozenset("ul ol dl table div article section main body td th blockquote".split())
 ENDS_P = frozenset("address article aside blockquote div dl fieldset footer form h1 h2 h3 h4 h5 h6 header hr main nav ol p pre section table ul".split())
+#: Boilerplate by element; an article's own header is not.
 DROPPED = RAW | frozenset("head nav header footer aside form button select svg canvas object audio video dialog menu".split())
+#: Class names that are boilerplate wherever they stand.
+PLAIN = frozenset("ad ads advert adverts advertisement sponsored comments comment-list commentlist comments-area sidebar navbar nav menu footer breadcrumb breadcrumbs cookies cookie-notice cookie-banner newsletter pagination".split())
+#: Names that make a container outside the region boilerplate.
 CLASSES = re.compile(
     r"(?:^|[\s_-])(?:ads?|advert\w*|sponsor\w*|promo\w*|banner|sidebar|side|menu|nav\w*|breadcrumbs?|cookies?|consent|notices?|alert|popup|modal|overlay|newsletter|subscribe|signup|social|share|sharing|related|recommend\w*"
     r"|comments?|replies|disqus|footer|header|masthead|toolbar|pagination|pager|search|login|skip|hidden|complementary|navigation|contentinfo|form)(?:$|[\s_-])",
     re.I,
 )
+#: Elements that hold the text itself; a region is the container around them.
+TEXTUAL = frozenset("p li h1 h2 h3 h4 h5 h6 pre td th dt dd caption figcaption".split())
+HEADINGS, PARAGRAPHS = frozenset("h1 h2 h3 h4 h5 h6".split()), frozenset("p pre li dd td blockquote".split())
+#: Elements that are taken for a part of the container around them.
+GROUPS = frozenset("ul ol dl table tbody thead tfoot tr blockquote figure".split())
 
 
-class Reader:
-    """Walks a page. ``steps`` yields (symbol of a tag, None, None) and ("#", path, text)."""
-
-    def __init__(self, page: str) -> None:
-        self.page = page
-
-    def steps(self) -> Iterator[tuple[str, str | None, str | None]]:
-        page, at, stack = self.page, 0, []  # stack of (name, symbol, path)
-        path = ""
-        while True:
-            m = TOKEN.search(page, at)
-            text = page[at : m.start() if m else len(page)]
-            if not m:
-                text = re.sub(r"<[/!?a-zA-Z][^>]*\Z", "", text)  # a tag that the page's end cuts off
-            if text and not text.isspace():
-                yield "#", path, text
-            if not m:
-                return
-            at = m.end()
-            name = m[2] and m[2].lower()
-            if not name:
-                continue
-            if m[1]:
-                for k in range(len(stack) - 1, -1, -1):
-                    if stack[k][0] == name:
-                        del stack[k:]
-                        path = stack[-1][2] if stack else ""
-                        break
-                yield f"</{name}>", None, None
-                continue
-            marks = " ".join(PER_PAGE.sub("", x) if g[0].lower() == "id" else x for g in MARK.findall(m[3]) for x in g[1:] if x) if m[3] else ""
-            symbol = f"{name}.{' '.join(sorted(set(marks.lower().split())))}" if marks else name
-            yield f"<{symbol}>", None, None
-            if name in VOID or m[3].endswith("/") and name not in ("p", "div", "a", "span"):
-                continue
-            if name in RAW:
-                end = re.compile(rf"</{name}\b[^>]*>", re.I).search(page, at)
-                at = end.end() if end else len(page)
+class Block:
+    """An element of a page that is no inline one. own, links: characters outside and inside of links; value: a checksum of its texts."""
+
+    __slots__ = ("symbol", "kids", "own", "links", "value", "depth", "keep")
+
+    def __init__(self, symbol: str, depth: int) -> None:
+        self.symbol, self.kids, self.own, self.links, self.value, self.depth, self.keep = symbol, [], 0, 0, 0, depth, False
+
+
+def read(page: str) -> tuple[Block, list[tuple[Block | None, str]]]:
+    """The root of a page's blocks, and its texts in order: (block, text), (None, " ") for a line break, (None, "") where a block begins or ends."""
+    root = Block("", 0)
+    out: list[tuple[Block | None, str]] = []
+    stack: list[tuple[str, Block, bool]] = [("", root, False)]  # name, block, inside a link
+    at, size, search = 0, len(page), TOKEN.search
+    while True:
+        m = search(page, at)
+        text = page[at : m.start() if m else size]
+        if not m:
+            text = re.sub(r"<[/!?a-zA-Z][^>]*\Z", "", text)  # a tag that the page's end cuts off
+        if text:
+            _, block, link = stack[-1]
+            bare = text.strip()
+            if bare:
+                if link:
+                    block.links += len(bare)
+                else:
+                    block.own += len(bare)
+                block.value = zlib.crc32(bare.encode("utf-8", "replace"), block.value)
+            out.append((block, text))
+        if not m:
+            return root, out
+        at = m.end()
+        name = m[2] and m[2].lower()
+        if not name:
+            continue
+        inline = name in INLINE
+        if name == "br":
+            out.append((None, " "))
+        elif not inline:
+            out.append((None, ""))
+        if m[1]:
+            for k in range(len(stack) - 1, 0, -1):
+                if stack[k][0] == name:
+                    del stack[k:]
+                    break
+            continue
+        if name in VOID or m[3].endswith("/") and name not in ("p", "div", "a", "span"):
+            continue
+        if name in RAW:
+            end = re.compile(rf"</{name}\b[^>]*>", re.I).search(page, at)
+            at = end.end() if end else size
+            continue
+        ends = SELF_ENDING.get(name, set()) | ({"p"} if name in ENDS_P else set())
+        if ends:
+            for k in range(len(stack) - 1, 0, -1):
+                if stack[k][0] in ends:
+                    del stack[k:]
+                    break
+                if stack[k][0] in SCOPES:
+                    break
+        _, block, link = stack[-1]
+        marks = []
+        if m[3]:
+            for g in MARK.findall(m[3]):
+                x = g[1] or g[2] or g[3]
+                marks += (PER_PAGE.sub("", x) if g[0].lower() == "id" else x).lower().split()
+        if inline and not PLAIN.intersection(marks):
+            stack.append((name, block, link or name == "a"))
+            continue
+        if block.depth < DEPTH:
+            inner = Block(f"{name}.{' '.join(sorted(set(marks)))}" if marks else name, block.depth + 1)
+            block.kids.append(inner)
+            block = inner
+        stack.append((name, block, link))
+
+
+class Wrapper:
+    """A node of a wrapper. symbol: of the element, "()" for a group; any: its children come in any order and number; optional, repeated: of itself.
+    pages, own, links, values (checksum -> pages, at most VALUES), seen (checksums of up to three different pages): what stood in its slot. blocks: those of a page that it was made from."""
+
+    __slots__ = ("symbol", "kids", "any", "bare", "optional", "repeated", "pages", "own", "links", "values", "seen", "blocks", "key")
+
+    def __init__(self, symbol: str) -> None:
+        self.symbol, self.kids, self.any, self.bare, self.optional, self.repeated = symbol, [], False, False, False, False
+        self.pages, self.own, self.links, self.values, self.seen, self.blocks = 0, 0, 0, {}, (), []
+        self.key = symbol
+
+    @property
+    def name(self) -> str:
+        return self.symbol.partition(".")[0]
+
+    def mark(self) -> None:
+        """Sets the key by which children of one parent are told apart: the symbol, and for containers what stands in them."""
+        self.key = self.symbol
+        if self.name not in TEXTUAL:
+            inside = sorted({k.symbol for k in self.kids})
+            self.key += "{" + ",".join(inside) + ("#" if self.own > self.links else "@" if self.links else "") + "}"
+
+    def dump(self) -> list:
+        return [
+            self.symbol, self.any | self.bare << 1 | self.optional << 2 | self.repeated << 3, self.pages, self.own, self.links, [list(x) for x in self.values.items()], list(self.seen), [k.dump() for k in self.kids],
+        ]
+
+
+def load(x: list) -> Wrapper:
+    w = Wrapper(x[0])
+    w.any, w.bare, w.optional, w.repeated = (bool(x[1] >> k & 1) for k in range(4))
+    w.pages, w.own, w.links, w.values, w.seen, w.kids = x[2], x[3], x[4], dict(map(tuple, x[5])), tuple(x[6]), [load(k) for k in x[7]]
+    w.mark()
+    return w
+
+
+def of_page(block: Block, page: int = 0) -> Wrapper:
+    """The wrapper of one page. page: its checksum."""
+    w = Wrapper(block.symbol)
+    w.blocks, w.own, w.links, w.pages = [block], block.own, block.links, 1
+    if block.own or block.links:
+        w.values, w.seen = {block.value: 1}, (page,)
+    kids = [of_page(k, page) for k in block.kids]
+    w.kids = folded(kids, 1, True) if len(kids) <= LIMIT else folded(kids)
+    _bounded(w)
+    w.mark()
+    return w
+
+
+def _same_page(a: Wrapper, b: Wrapper) -> Wrapper:
+    """Two neighbours of one page as one."""
+    out = align(a, b, True)
+    out.repeated = True
+    return out
+
+
+def folded(kids: list[Wrapper], longest: int = LONGEST, textual: bool = False) -> list[Wrapper]:
+    """Neighbouring equal children, then groups of them, as one repeated child. Shortest groups first. textual: only paragraphs and the like."""
+    for size in range(1, longest + 1):
+        if len(kids) < 2 * size:
+            break
+        keys, out, k = [x.key for x in kids], [], 0
+        while k < len(kids):
+            body, z = keys[k : k + size], k + size
+            if keys[z : z + size] != body or textual and kids[k].name not in TEXTUAL:
+                out.append(kids[k])
+                k += 1
                 continue
-            ends = SELF_ENDING.get(name, set()) | ({"p"} if name in ENDS_P else set())
-            if ends:
-                for k in range(len(stack) - 1, -1, -1):
-                    if stack[k][0] in ends:
-                        del stack[k:]
-                        break
-                    if stack[k][0] in SCOPES:
-                        break
-            path = stack[-1][2] if stack else ""
-            if name not in INLINE or CLASSES.search(marks):
-                path = f"{path}/{symbol}"
-            stack.append((name, symbol, path))
-
-
-@functools.lru_cache(100_000)
-def ruled(path: str) -> tuple[bool, bool]:
-    """By names and classes alone: whether a path is boilerplate, and whether it is in a main region."""
-    steps = [s.partition(".") for s in path.split("/") if s]
-    main = max((k for k, (n, _, c) in enumerate(steps) if n in ("article", "main") or re.search(r"\b(main|article)\b", c) and n in ("div", "section")), default=-1)
-    out = False
-    for k, (n, _, c) in enumerate(steps):
-        if n in DROPPED or k > 0 and c and n not in ("html", "body") and not (k == main) and CLASSES.search(c):
-            out = True
-    return out, main >= 0
-
-
-# A wrapper is a list of items: ("t", symbol), ("s", path), ("o", items), ("r", items).
-
-
-def joined(items: list[tuple], known: list[list[tuple]] = ()) -> list[tuple]:
-    """Neighbouring equal groups as one repeated group; a single occurrence too of a group known to repeat. Shortest groups first."""
-    for size in range(1, LONGEST + 1):
+            group = _group(kids[k:z])
+            while keys[z : z + size] == body:
+                group = _same_page(group, _group(kids[z : z + size]))
+                z += size
+            out.append(group)
+            k = z
+        kids = out
+    return kids
+
+
+def grouped(kids: list[Wrapper], known: list[list[str]]) -> list[Wrapper]:
+    """The same with single occurrences of groups that are known to repeat as groups. known: the keys of such groups."""
+    for body in known:
         out, k = [], 0
-        bodies = [b for b in known if len(b) == size]
-        while k < len(items):
-            body = items[k : k + size]
-            if len(body) == size and body[0][0] == "t" and body[0][1][1] != "/" and (body == items[k + size : k + 2 * size] or body in bodies):
-                while items[k : k + size] == body:
-                    k += size
-                out.append(("r", body))
-                if k < len(items) and items[k] == out[-1]:
-                    k += 1
+        while k < len(kids):
+            if [x.key for x in kids[k : k + len(body)]] == body:
+                out.append(_group(kids[k : k + len(body)]))
+                k += len(body)
             else:
-                out.append(items[k])
+                out.append(kids[k])
                 k += 1
-        items = out
-    return items
-
-
-def bodies(items: list[tuple]) -> list[list[tuple]]:
-    return [b for i in items if i[0] in "ro" for b in ([i[1]] if i[0] == "r" else []) + bodies(i[1])]
-
-
-def _key(item: tuple):
-    return item if item[0] in "ts" else (item[0], tuple(map(_key, item[1])))
-
-
-def align(wrapper: list[tuple], page: list[tuple]) -> list[tuple]:
-    """The wrapper, generalised so that it matches the page too."""
-    known = bodies(wrapper) + bodies(page)
-    wrapper, page = joined(wrapper, known), joined(page, known)
-    bare = [i[1] if i[0] == "o" and len(i[1]) == 1 else [i] if i[0] != "o" else i[1] for i in wrapper]
-    one = [tuple(map(_key, i if isinstance(i, list) else [i])) for i in bare]
-    two = [(_key(i),) for i in page]
-    out: list[tuple] = []
-    for kind, a, b, c, d in SequenceMatcher(None, one, two, autojunk=False).get_opcodes():
+        kids = out
+    return kids
+
+
+def _group(kids: list[Wrapper]) -> Wrapper:
+    if len(kids) == 1:
+        return kids[0]
+    w = Wrapper("()")
+    w.kids, w.pages = kids, 1
+    w.mark()
+    return w
+
+
+def _bounded(w: Wrapper) -> None:
+    """Keeps a wrapper small: beyond LIMIT children one group in any order, then one without classes."""
+    if len(w.kids) > LIMIT:
+        w.any = True
+    if w.any:
+        w.kids = _by_symbol(w)
+        if len(w.kids) > LIMIT and not w.bare:
+            w.bare = True
+            w.kids = _by_symbol(w)
+
+
+def _by_symbol(w: Wrapper) -> list[Wrapper]:
+    by: dict[str, Wrapper] = {}
+    for k in [x for k in w.kids for x in (k.kids if k.symbol == "()" else (k,))]:
+        if w.bare:
+            k.symbol = k.name
+        k.optional = k.repeated = True
+        by[k.symbol] = align(by[k.symbol], k, True) if k.symbol in by else k
+    return [by[s] for s in sorted(by)]
+
+
+def levelled(a: list[Wrapper], b: list[Wrapper]) -> tuple[list[Wrapper], list[Wrapper]]:
+    """Children of two nodes, with repeated groups on both sides where they don't match as they are."""
+    if [x.key for x in a] == [y.key for y in b]:
+        return a, b
+    if len(a) != len(b):
+        a, b = folded(a), folded(b)
+    known = [[k.key for k in x.kids] for x in (*a, *b) if x.symbol == "()"]
+    return (grouped(a, known), grouped(b, known)) if known else (a, b)
+
+
+def matched(a: list[Wrapper], b: list[Wrapper]) -> Iterator[tuple[Wrapper | None, Wrapper | None]]:
+    """Children of two nodes side by side, None where one side lacks the other's. First those of equal keys, then what is left between them by symbol."""
+
+    def runs(x: list[str], y: list[str]):
+        if x == y:
+            return [("equal", 0, len(x), 0, len(y))]
+        return SequenceMatcher(None, x, y, autojunk=False).get_opcodes()
+
+    for kind, i, j, k, m in runs([x.key for x in a], [y.key for y in b]):
         if kind == "equal":
-            out += wrapper[a:b]
+            yield from zip(a[i:j], b[k:m], strict=True)
             continue
-        here = []
-        for i in wrapper[a:b]:  # optional already, or made so
-            if i[0] == "o":
-                if here:
-                    out.append(("o", here))
-                    here = []
-                out.append(i)
+        for inner, p, q, r, s in runs([x.symbol for x in a[i:j]], [y.symbol for y in b[k:m]]):
+            if inner == "equal":
+                yield from zip(a[i + p : i + q], b[k + r : k + s], strict=True)
             else:
-                here.append(i)
-        if here:
-            out.append(("o", here))
-        if c < d:
-            out.append(("o", page[c:d]))
+                yield from ((x, None) for x in a[i + p : i + q])
+                yield from ((None, y) for y in b[k + r : k + s])
+
+
+def align(a: Wrapper, b: Wrapper, one_page: bool = False) -> Wrapper:
+    """The expression that matches what either matches; their slots are added up."""
+    a.own, a.links, a.blocks = a.own + b.own, a.links + b.links, a.blocks + b.blocks
+    if one_page:  # a slot of several blocks has one value a page
+        a.pages = max(a.pages, b.pages)
+        values = [*a.values, *b.values]
+        a.values = {zlib.crc32(repr(values).encode()) if len(values) > 1 else values[0]: 1} if values else {}
+    else:
+        a.pages += b.pages
+        for v, n in b.values.items():
+            a.values[v] = a.values.get(v, 0) + n
+        if len(a.values) > VALUES:  # counts become too small by the same number for all
+            least = sorted(a.values.values(), reverse=True)[VALUES]
+            a.values = {v: n - least for v, n in a.values.items() if n > least}
+    a.seen = tuple(sorted({*a.seen, *b.seen})[:3])
+    a.optional, a.repeated = a.optional or b.optional, a.repeated or b.repeated
+    if a.any or b.any or a.bare or b.bare:
+        a.any, a.bare, a.kids = True, a.bare or b.bare, a.kids + b.kids
+    else:
+        kids = []
+        for x, y in matched(*levelled(a.kids, b.kids)):
+            if x is not None and y is not None:
+                kids.append(align(x, y, one_page))
+            else:
+                one = x if x is not None else y
+                one.optional = True
+                kids.append(one)
+        a.kids = folded(kids, 1) if any(x.key == y.key and (x.repeated or y.repeated) for x, y in zip(kids, kids[1:])) else kids
+    _bounded(a)
+    a.mark()
+    return a
+
+
+def infer(pages: list[str]) -> Wrapper | None:
+    """The wrapper of some pages."""
+    out = None
+    for page in pages:
+        w = of_page(read(page)[0], zlib.crc32(page.encode("utf-8", "replace")))
+        out = w if out is None else align(out, w)
     return out
 
 
-def stream(page: str) -> tuple[list[tuple], dict[str, list[str]]]:
-    """A page's items with repeats joined, and its texts by path."""
-    items, texts = [], defaultdict(list)
-    for symbol, path, text in Reader(page).steps():
-        if path is None:
-            items.append(("t", symbol))
-        else:
-            if not items or items[-1] != ("s", path):
-                items.append(("s", path))
-            texts[path].append(" ".join(entities.unescape(text).split()))
-    return joined(items)[:MOST_TOKENS], texts
-
-
-def slots(items: list[tuple]) -> set[str]:
-    return {p for i in items for p in ({i[1]} if i[0] == "s" else slots(i[1]) if i[0] in "or" else ())}
-
-
-def infer(pages: list[str]) -> tuple[list[tuple], dict[str, bool]]:
-    """The wrapper of pages of one host, and which of its slots are content."""
-    wrapper: list[tuple] = []
-    seen: list[dict[str, list[str]]] = []
-    for k, page in enumerate(pages):
-        items, texts = stream(page)
-        wrapper = align(wrapper, items) if k else items
-        seen.append(texts)
-    paths = sorted(slots(wrapper))
-    distinct = {json.dumps(t, sort_keys=True): t for t in seen}
-    content = {p: not ruled(p)[0] for p in paths}
-    if len(distinct) > 2:
-        for p in paths:
-            if ruled(p)[1]:
-                continue  # copies of one article are no template
-            values = [tuple(t[p]) for t in distinct.values() if p in t]
-            if len(values) > 2 and len(set(values)) == 1:
-                content[p] = False  # template text
-    if any(ruled(p)[1] for p in paths):
-        content = {p: c and ruled(p)[1] for p, c in content.items()}
-    elif any(content.values()):
-        mass: dict[str, int] = defaultdict(int)
-        for t in seen:
-            for p, values in t.items():
-                if content.get(p):
-                    steps = p.split("/")
-                    for n in range(2, len(steps) + 1):
-                        mass["/".join(steps[:n])] += sum(map(len, values))
-        most = max(mass.values(), default=0)
-        best = max((p for p, v in mass.items() if v >= 0.8 * most), key=lambda p: (p.count("/"), p), default="")
-        parent = best.rpartition("/")[0] if best.rpartition("/")[2].partition(".")[0] in ("p", "li", "h1", "h2", "pre", "td") else best
-        content = {p: c and (p == parent or p.startswith(parent + "/")) for p, c in content.items()}
-    return wrapper, content
-
-
-#: Elements that hold the text itself; a region is the container around them. The second only if they have no class or id.
-TEXTUAL = frozenset("p li h1 h2 h3 h4 h5 h6 pre td th dt dd caption figcaption".split())
-GROUPS = frozenset("ul ol dl table tbody thead tfoot tr blockquote figure".split())
-
-
-def container(path: str) -> str:
-    while path:
-        up, _, step = path.rpartition("/")
-        name, _, marks = step.partition(".")
-        if name not in TEXTUAL and (marks or name not in GROUPS):
+def show(w: Wrapper) -> str:
+    """The wrapper as a regular expression over tags and slots."""
+    inside = ("#" if w.own or w.links else "") + "".join(map(show, w.kids))
+    inside = f"({inside})*" if w.any else inside
+    if w.symbol not in ("", "()"):
+        inside = f"<{w.symbol}>{inside}</{w.name}>"
+    sign = "*" if w.optional and w.repeated else "?" if w.optional else "+" if w.repeated else ""
+    return f"({inside}){sign}" if sign else inside
+
+
+def _marks(w: Wrapper) -> str:
+    return w.symbol.partition(".")[2]
+
+
+def _boilerplate(w: Wrapper, in_article: bool) -> bool:
+    """By its own element or name."""
+    return w.name in DROPPED and not (in_article and w.name == "header") or bool(PLAIN.intersection(_marks(w).split()))
+
+
+def _template(w: Wrapper, pages: int) -> bool:
+    """Whether the slot has one value on nearly all of at least so many different pages."""
+    return len(w.seen) >= pages and max(w.values.values(), default=0) >= TEMPLATE_SHARE * w.pages
+
+
+def _explicit(w: Wrapper) -> bool:
+    return w.name in ("article", "main") or w.name in ("div", "section") and bool(re.search(r"\b(main|article)\b", _marks(w)))
+
+
+def decide(root: Wrapper) -> set[int]:
+    """The nodes (by id) whose slots are kept."""
+    explicit: list[tuple[Wrapper, bool]] = []
+    mass: dict[int, int] = {}
+
+    def weigh(w: Wrapper, out: bool, in_article: bool) -> int:
+        """Text of a node that may be article, by name."""
+        inside = in_article or w.name == "article"
+        out = out or _boilerplate(w, in_article) or w.name not in ("html", "body") and not inside and not _explicit(w) and bool(CLASSES.search(_marks(w)))
+        n = 0 if out else w.own + w.links
+        total = n + sum([weigh(k, out, inside) for k in w.kids])
+        if total and _explicit(w):
+            explicit.append((w, in_article))
+        return total
+
+    weigh(root, False, False)
+    kept: set[int] = set()
+
+    def keep(w: Wrapper, in_article: bool, found: bool) -> None:
+        """found: by its text, so that links and template text in it are told apart."""
+        if _boilerplate(w, in_article):
+            return
+        if not found and not in_article and not _explicit(w) and CLASSES.search(_marks(w)) and w.name != "article":
+            return
+        if not found or w.name in HEADINGS or not (w.links > w.own or _template(w, 3)):
+            kept.add(id(w))
+        for k in w.kids:
+            keep(k, in_article or w.name == "article", found)
+
+    if explicit:
+        for w, in_article in explicit:
+            keep(w, in_article, False)
+        return kept
+
+    def text(w: Wrapper, out: bool, plain: bool) -> int:
+        out = out or _boilerplate(w, False) or plain and w.name not in ("html", "body") and bool(CLASSES.search(_marks(w)))
+        own = 0 if out or plain and (w.links > w.own or _template(w, 2)) else w.own
+        mass[id(w)] = total = own + sum([text(k, out, plain) for k in w.kids])
+        return total
+
+    text(root, False, True) or text(root, False, False)
+    up = [root]
+
+    def inner(w: Wrapper) -> list[Wrapper]:
+        """Children, with groups and elements that are part of their container opened."""
+        return [y for k in w.kids for y in (inner(k) if k.symbol == "()" or k.name in GROUPS and "." not in k.symbol else (k,))]
+
+    while True:
+        here = up[-1]
+        kids = inner(here)
+        best = max((k for k in kids if k.name not in TEXTUAL), key=lambda k: mass[id(k)], default=None)
+        if best is None or mass[id(best)] <= REGION_SHARE * mass[id(here)]:
             break
-        path = up
-    return path
-
-
-def under(path: str, region: str) -> bool:
-    return path == region or path.startswith(region + "/")
-
-
-def region(size: dict[str, int]) -> str:
-    """The deepest container of most of the text; size: characters by path."""
-    mass: dict[str, int] = defaultdict(int)
-    for p, n in size.items():
-        steps = p.split("/")
-        for k in range(2, len(steps) + 1):
-            mass["/".join(steps[:k])] += n
-    most = max(mass.values(), default=0)
-    return container(max((p for p, n in mass.items() if n >= REGION_SHARE * most), key=lambda p: (p.count("/"), p), default=""))
-
-
-def by_path(steps: list[tuple[str, str | None, str | None]]) -> dict[str, list[str]]:
-    texts = defaultdict(list)
-    for _, path, text in steps:
-        if path is not None:
-            texts[path].append(" ".join(entities.unescape(text).split()))
-    return texts
-
-
-def digest(values: list[str]) -> int:
-    return int.from_bytes(hashlib.blake2b("\n".join(values).encode("utf-8", "replace"), digest_size=8).digest(), "little", signed=True)
-
+        if sum(mass[id(k)] for k in kids if k.name in PARAGRAPHS) > OWN_SHARE * mass[id(here)]:
+            break
+        up.append(best)
+
+    def headed(w: Wrapper) -> bool:
+        return any(k.name in HEADINGS and mass[id(k)] or headed(k) for k in w.kids)
+
+    at = len(up) - 1
+    if not headed(up[at]):
+        for k in range(at - 1, -1, -1):
+            if up[k].name in ("", "html", "body"):
+                break
+            if headed(up[k]):
+                at = k
+                break
+    keep(up[at], False, True)
+    if not any(id(w) in kept and (w.own or w.links) for w in _nodes(up[at])):
+        for w in _nodes(up[at]):
+            if not _boilerplate(w, False):
+                kept.add(id(w))
+    return kept
+
+
+def _nodes(w: Wrapper) -> Iterator[Wrapper]:
+    yield w
+    for k in w.kids:
+        yield from _nodes(k)
+
+
+def unrolled(mine: list[Wrapper], page: list[Wrapper]) -> tuple[list[Wrapper], list[Wrapper]]:
+    """A wrapper's children with repeated ones as often as a page may need them, and a page's without groups."""
+    page = [z for y in page for z in (y.kids if y.symbol == "()" else (y,))]
+    if [x.key for x in mine] == [y.key for y in page]:
+        return mine, page
+    n = Counter(y.symbol for y in page)
+    out = []
+    for x in mine:
+        body = x.kids if x.symbol == "()" else [x]
+        out += body * (max(1, *(n[k.symbol] for k in body)) if x.repeated and body else 1)
+    return out, page
+
+
+class Rules:
+    """A host's wrapper with its kept slots and those of template text, and what it says of page structures met before."""
+
+    def __init__(self, wrapper: Wrapper, kept: set[int]) -> None:
+        self.wrapper, self.known = wrapper, {}
+        self.slots: dict[int, bool | None] = {id(w): True if id(w) in kept else None if _template(w, 3) else False for w in _nodes(wrapper)}
+
+    def bind(self, page: Wrapper) -> None:
+        """Sets ``keep`` of the page's blocks by the slots that they are bound to; None for template text."""
+        sign = signature(page)
+        flags = self.known.get(sign)
+        if flags is None:
+            found: dict[int, bool | None] = {}
+            self._walk(self.wrapper, page, found)
+            flags = [found.get(id(w), False) for w in _nodes(page)]
+            if len(self.known) < 1000:
+                self.known[sign] = flags
+        for w, keep in zip(_nodes(page), flags, strict=True):
+            for b in w.blocks:
+                b.keep = keep
+
+    def _walk(self, mine: Wrapper, page: Wrapper, found: dict[int, bool | None]) -> None:
+        found[id(page)] = self.slots[id(mine)]
+        if mine.any or mine.bare or page.any:
+            by = {x.symbol: x for x in [y for k in mine.kids for y in (k.kids if k.symbol == "()" else (k,))]}
+            pairs = [(by.get(k.symbol) or by.get(k.name), k) for w in page.kids for k in (w.kids if w.symbol == "()" else (w,))]
+        else:
+            pairs = matched(*unrolled(mine.kids, page.kids))
+        for x, y in pairs:
+            if x is not None and y is not None:
+                self._walk(x, y, found)
+            elif y is not None:  # a wrapper that doesn't know the page: as its parent
+                self._unknown(y, bool(found[id(page)]), found)
 
-def allowed(texts: dict[str, list[str]]) -> tuple[set[str], bool]:
-    """Paths that are no boilerplate by names and classes, only those in an article or main element if there are any; and whether there are."""
-    good = {p for p in texts if not ruled(p)[0]}
-    main = {p for p in good if ruled(p)[1]}
-    return main or good, bool(main)
+    def _unknown(self, page: Wrapper, keep: bool, found: dict[int, bool | None]) -> None:
+        keep = keep and not _boilerplate(page, True)
+        found[id(page)] = keep
+        for k in page.kids:
+            self._unknown(k, keep, found)
 
 
-def kept(texts: dict[str, list[str]], rules: dict) -> set[str]:
-    """The paths of a page that are content. rules: region and template (path -> digest) of its host."""
-    good, main = allowed(texts)
-    if main:
-        return good
-    template = rules.get("template", {})
-    good = {p for p in good if p not in template or template[p] != digest(texts[p])} or good
-    size = {p: sum(map(len, texts[p])) for p in good}
-    at = rules.get("region")
-    out = {p for p in good if at is not None and under(p, at)}
-    if 2 * sum(size[p] for p in out) < sum(size.values()):
-        own = region(size)
-        out |= {p for p in good if under(p, own)}
-    return out
+def signature(w: Wrapper) -> str:
+    """The structure, without what stands in it."""
+    inside = "".join(map(signature, w.kids))
+    return f"{w.symbol}{'#' if w.own > w.links else '@' if w.links else ''}{'*' if w.any else ''}({inside})"
 
 
-def extract(page: str, rules: dict) -> str:
+def extract(page: str, rules: Rules | None) -> str:
     """The main text of a page."""
-    steps = list(Reader(page).steps())
-    content = kept(by_path(steps), rules)
-    blocks, words = [], []
+    root, texts = read(page)
+    own = of_page(root)
+    if rules is None:
+        rules = Rules(own, decide(own))
+    rules.bind(own)
+    sizes = [(b, b.own) for w in _nodes(own) for b in w.blocks if b.keep is not None]
+    if 2 * sum(n for b, n in sizes if b.keep) < sum(n for _, n in sizes):
+        mine = decide(own)
+        some = any(b.keep and b.own for b, _ in sizes)
+        if not some or not any(_explicit(w) and any(b.keep for x in _nodes(w) for b in x.blocks) for w in _nodes(own)):
+            for w in _nodes(own):
+                if id(w) in mine:
+                    for b in w.blocks:
+                        b.keep = b.keep is not None
+    blocks: list[str] = []
+    words: list[str] = []
 
     def end() -> None:
         if words:
@@ -315,18 +550,16 @@ def extract(page: str, rules: dict) -> str:
             words.clear()
 
     last = None
-    for symbol, path, text in steps:
-        if path is None:
-            name = symbol.strip("</>").partition(".")[0]
-            if name == "br":
-                words.append(" ")
-            elif name not in INLINE:
+    for block, text in texts:
+        if block is None:
+            if text:
+                words.append(text)
+            else:
                 end()
-            continue
-        if path in content:
-            if path != last and last is not None:
+        elif block.keep:
+            if block is not last:
                 end()
-            last = path
+            last = block
             words.append(text)
     end()
     return "\n".join(blocks)
@@ -336,99 +569,71 @@ def _host():
     return F.coalesce(F.lower(F.regexp_extract("url", r"^[a-zA-Z][a-zA-Z0-9+.-]*://(?:[^/@?#]*@)?([^/:?#]*)", 1)), F.lit(""))
 
 
-def wrappers(pages: DataFrame) -> DataFrame:
-    """pages: page_id, url, html. Returns host, wrapper (readable), content (JSON: path -> kept)."""
-    first = Window.partitionBy("host").orderBy("key", "page_id")
-    seen = pages.where("html is not null").select(_host().alias("host"), F.xxhash64("page_id").alias("key"), "page_id", "html")
-    seen = seen.withColumn("k", F.row_number().over(first)).where(F.col("k") <= SAMPLE_PAGES)  # limited by group in each task before the shuffle
-
-    def run(group: pd.DataFrame) -> pd.DataFrame:
-        wrapper, content = infer(group.sort_values("k")["html"].tolist())
-        return pd.DataFrame({"host": [group["host"].iloc[0]], "wrapper": [show(wrapper)], "content": [json.dumps(content)]})
-
-    return seen.groupBy("host").applyInPandas(run, "host string, wrapper string, content string")
-
-
-def show(items: list[tuple]) -> str:
-    """The wrapper as a regular expression over tags and slots."""
-    return "".join(i[1] if i[0] == "t" else "#" if i[0] == "s" else f"({show(i[1])}){'?' if i[0] == 'o' else '+'}" for i in items)
+PARTIAL = "host string, wrapper string"
 
 
-STATS = "host string, path string, value long, n long, mass long, pages array<bigint>"
+def _partial(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """One wrapper for each host of a task, of its pages; more where it meets many hosts."""
+    held: dict[str, dict[str, Wrapper]] = {}
 
-
-def _stats(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Of pages without an article or main element: rows and characters by host, path and value, with the digests of up to three pages."""
-    held: dict[tuple[str, str, int], list] = {}
+    def together(by: dict[str, Wrapper]) -> Wrapper:
+        return functools.reduce(align, [by[s] for s in sorted(by)])
 
     def out() -> pa.RecordBatch:
-        names, types = zip(*(x.split() for x in STATS.split(", ")), strict=True)
-        kinds = {"string": pa.string(), "long": pa.int64(), "array<bigint>": pa.list_(pa.int64())}
-        columns = zip(*((*k, n, mass, sorted(pages)) for k, (n, mass, pages) in held.items()), strict=True)
-        b = pa.record_batch([pa.array(c, kinds[t]) for c, t in zip(columns, types, strict=True)], names)
+        b = pa.record_batch({"host": pa.array(held, pa.string()), "wrapper": pa.array([json.dumps(together(by).dump(), separators=(",", ":")) for by in held.values()], pa.string())})
         held.clear()
         return b
 
     for b in batches:
         for host, page in zip(b.column("host").to_pylist(), b.column("html").to_pylist(), strict=True):
-            texts = by_path(list(Reader(page).steps()))
-            good, main = allowed(texts)
-            if main or not good:
-                continue
-            whole = digest([x for p in sorted(texts) for x in (p, *texts[p])])
-            for p in good:
-                e = held.setdefault((host, p, digest(texts[p])), [0, 0, set()])
-                e[0] += 1
-                e[1] += sum(map(len, texts[p]))
-                if len(e[2]) < 3:
-                    e[2].add(whole)
-        if len(held) > ENTRIES:
+            w = of_page(read(page)[0], zlib.crc32(page.encode("utf-8", "replace")))
+            for x in _nodes(w):
+                x.blocks = []
+            by = held.setdefault(host, {})
+            sign = signature(w)
+            by[sign] = align(by[sign], w) if sign in by else w
+            if len(by) > HELD:
+                held[host] = {"": together(by)}
+        if len(held) > HELD:
             yield out()
     if held:
         yield out()
 
 
-def rules(pages: DataFrame) -> DataFrame:
-    """pages: page_id, url, html. Returns host, content (JSON: region, template) of hosts that have pages without an article or main element."""
-    seen = small_batches(pages).where("html is not null").select(_host().alias("host"), "html").mapInArrow(releasing(_stats), STATS)
-    values = seen.groupBy("host", "path", "value").agg(F.sum("n").alias("n"), F.sum("mass").alias("mass"), F.size(F.array_distinct(F.flatten(F.collect_list("pages")))).alias("differ"))
-    paths = values.groupBy("host", "path").agg(F.sum("n").alias("n"), F.sum("mass").alias("mass"), F.max(F.struct("n", "differ", "value", "mass")).alias("top"))
-    fixed = (F.col("top.differ") > 2) & (F.col("top.n") >= TEMPLATE_SHARE * F.col("n"))
-    paths = paths.select("host", "path", F.when(fixed, F.col("top.value")).alias("value"), (F.col("mass") - F.when(fixed, F.col("top.mass")).otherwise(0)).alias("mass"))
-    from fabula.llm.scratch import written
+def _merged(table: pa.Table) -> pa.Table:
+    found = functools.reduce(align, [load(json.loads(x)) for x in sorted(table.column("wrapper").to_pylist())])
+    return pa.table({"host": table.column("host")[:1], "wrapper": pa.array([json.dumps(found.dump(), separators=(",", ":"))], pa.string())})
 
-    paths = written(paths, "paths")
-    steps = F.split("path", "/")
-    masses = paths.where((F.size(steps) > 1) & (F.col("mass") > 0)).select("host", F.explode(F.transform(F.sequence(F.lit(2), F.size(steps)), lambda k: F.array_join(F.slice(steps, 1, k), "/"))).alias("path"), "mass")
-    masses = masses.groupBy("host", "path").agg(F.sum("mass").alias("mass"))
-    most = masses.groupBy("host").agg((F.max("mass") * REGION_SHARE).alias("most"))
-    best = masses.join(most, "host").where("mass >= most").groupBy("host").agg(F.max(F.struct(F.size(F.split("path", "/")), "path"))["path"].alias("best"))
-    fixed = paths.groupBy("host").agg(F.map_from_entries(F.collect_list(F.when(F.col("value").isNotNull(), F.struct("path", "value")))).alias("template"))
-    return fixed.join(best, "host", "left").select("host", F.to_json(F.struct(F.coalesce("best", F.lit("")).alias("region"), "template")).alias("content"))
 
+def wrappers(pages: DataFrame) -> DataFrame:
+    """pages: page_id, url, html. Returns host, wrapper (JSON; ``load`` reads it) of all hosts that have pages."""
+    seen = small_batches(pages).where("html is not null").select(_host().alias("host"), "html").mapInArrow(releasing(_partial), PARTIAL)
+    some = seen.withColumn("salt", F.pmod(F.xxhash64("wrapper"), F.lit(SALTS))).groupBy("host", "salt").applyInArrow(freeing(_merged), PARTIAL)
+    return some.groupBy("host").applyInArrow(freeing(_merged), PARTIAL)
 
-@functools.lru_cache(5000)
-def _content(found: str | None) -> dict:
-    out = json.loads(found) if found else {}
-    return out | {"region": container(out["region"])} if out else out
 
+@functools.lru_cache(500)
+def _rules(wrapper: str | None) -> Rules | None:
+    if not wrapper:
+        return None
+    w = load(json.loads(wrapper))
+    return Rules(w, decide(w))
 
-def main_text(pages: DataFrame, known: DataFrame | None = None) -> DataFrame:
-    """pages: page_id, url, html. known: rules of the hosts, if not those of the pages themselves. Returns page_id, url, text, n_chars."""
-    from fabula.llm.scratch import written
 
-    found = written((rules(pages) if known is None else known).select("host", "content"), "rules")
-    size = found.agg(F.sum(F.octet_length("content") + F.octet_length("host") + 64)).first()[0] or 0
+def main_text(pages: DataFrame, known: DataFrame | None = None) -> DataFrame:
+    """pages: page_id, url, html. known: wrappers of the hosts, if not those of the pages themselves. Returns page_id, url, text, n_chars."""
+    found = written((wrappers(pages) if known is None else known).select("host", "wrapper"), "wrappers")
+    size = found.agg(F.sum(F.octet_length("wrapper") + F.octet_length("host") + 64)).first()[0] or 0
     rows = pages.select("page_id", "url", "html", _host().alias("host")).join(F.broadcast(found) if size <= BROADCAST_BYTES else found, "host", "left")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
             for k in range(0, whole.num_rows, 500):
                 b = whole.slice(k, 500)
-                texts = [extract(h, _content(c)) if h else "" for h, c in zip(b.column("html").to_pylist(), b.column("content").to_pylist(), strict=True)]
+                texts = [extract(h, _rules(c)) if h else "" for h, c in zip(b.column("html").to_pylist(), b.column("wrapper").to_pylist(), strict=True)]
                 yield pa.record_batch({"page_id": b.column("page_id"), "url": b.column("url"), "text": pa.array(texts, pa.string()), "n_chars": pa.array(map(len, texts), pa.int64())})
 
-    return small_batches(rows).select("page_id", "url", "html", "content").mapInArrow(releasing(run), f"page_id {pages.schema['page_id'].dataType.simpleString()}, url string, text string, n_chars long")
+    return small_batches(rows).select("page_id", "url", "html", "wrapper").mapInArrow(releasing(run), f"page_id {pages.schema['page_id'].dataType.simpleString()}, url string, text string, n_chars long")
 
 
 def op3_wrappers(spark, sf_dir: str) -> DataFrame:

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import hashlib
+import json
 import random
 import zlib
 
@@ -135,9 +136,10 @@ def test_wrappers(spark):
 
 
 def test_wrapper_is_a_union_free_expression():
-    w, content = wrappers.infer([PAGE.replace("{k}", str(k)).replace("{body}", b) for k, b in enumerate(("<p>a</p>", "<p>a</p><p>b</p>", "<h2>x</h2><p>a</p>", "<p>q</p><p>b</p>"))])
-    assert "(<li><a>#</a></li>)+" in wrappers.show(w) and "(<h2>#</h2>)?" in wrappers.show(w) and "(<p>#</p>)+" in wrappers.show(w)
-    assert content["/html/body/article/p"] and not content["/html/body/footer"]
+    w = wrappers.infer([PAGE.replace("{k}", str(k)).replace("{body}", b) for k, b in enumerate(("<p>a</p>", "<p>a</p><p>b</p>", "<h2>x</h2><p>a</p>", "<p>q</p><p>b</p>"))])
+    assert "(<li>#</li>)+" in wrappers.show(w) and "(<h2>#</h2>)?" in wrappers.show(w) and "(<p>#</p>)+" in wrappers.show(w)
+    again = wrappers.load(json.loads(json.dumps(w.dump())))
+    assert wrappers.show(again) == wrappers.show(w) and again.dump() == json.loads(json.dumps(w.dump()))
 
 
 def test_machine_identity():
