@@ -262,19 +262,17 @@ def _group(kids: list[Wrapper]) -> Wrapper:
 
 def _bounded(w: Wrapper) -> None:
     """Keeps a wrapper small: beyond LIMIT children one group in any order, then one without classes."""
-    if len(w.kids) > LIMIT:
-        w.any = True
+    w.any = w.any or len(w.kids) > LIMIT
     if w.any:
-        w.kids = _by_symbol(w)
+        w.kids = _by_symbol(w.kids, w.bare)
         if len(w.kids) > LIMIT and not w.bare:
-            w.bare = True
-            w.kids = _by_symbol(w)
+            w.bare, w.kids = True, _by_symbol(w.kids, True)
 
 
-def _by_symbol(w: Wrapper) -> list[Wrapper]:
+def _by_symbol(kids: list[Wrapper], bare: bool) -> list[Wrapper]:
     by: dict[str, Wrapper] = {}
-    for k in [x for k in w.kids for x in (k.kids if k.symbol == "()" else (k,))]:
-        if w.bare:
+    for k in [x for k in kids for x in (k.kids if k.symbol == "()" else (k,))]:
+        if bare:
             k.symbol = k.name
         k.optional = k.repeated = True
         by[k.symbol] = align(by[k.symbol], k, True) if k.symbol in by else k
@@ -314,10 +312,10 @@ def matched(a: list[Wrapper], b: list[Wrapper]) -> Iterator[tuple[Wrapper | None
 def align(a: Wrapper, b: Wrapper, one_page: bool = False) -> Wrapper:
     """The expression that matches what either matches; their slots are added up."""
     a.own, a.links, a.blocks = a.own + b.own, a.links + b.links, a.blocks + b.blocks
-    if one_page:  # a slot of several blocks has one value a page
-        a.pages = max(a.pages, b.pages)
+    if one_page:  # a slot of several blocks has one value a page; of several slots of many pages it isn't known
         values = [*a.values, *b.values]
-        a.values = {zlib.crc32(repr(values).encode()) if len(values) > 1 else values[0]: 1} if values else {}
+        a.values = {} if max(a.pages, b.pages) > 1 or not values else {zlib.crc32(repr(values).encode()) if len(values) > 1 else values[0]: 1}
+        a.pages = max(a.pages, b.pages)
     else:
         a.pages += b.pages
         for v, n in b.values.items():
@@ -328,7 +326,9 @@ def align(a: Wrapper, b: Wrapper, one_page: bool = False) -> Wrapper:
     a.seen = tuple(sorted({*a.seen, *b.seen})[:3])
     a.optional, a.repeated = a.optional or b.optional, a.repeated or b.repeated
     if a.any or b.any or a.bare or b.bare:
-        a.any, a.bare, a.kids = True, a.bare or b.bare, a.kids + b.kids
+        a.any, a.bare = True, a.bare or b.bare
+        mine, theirs = ({k.symbol: k for k in _by_symbol(x.kids, a.bare)} for x in (a, b))
+        a.kids = [align(mine[x], theirs[x], one_page) if x in mine and x in theirs else mine.get(x) or theirs[x] for x in sorted({*mine, *theirs})]
     else:
         kids = []
         for x, y in matched(*levelled(a.kids, b.kids)):
