@@ -167,10 +167,41 @@ def test_classifiers_without_labels_and_on_odd_rows(spark, docs, run):
 
 
 def test_grammar_states():
-    g = toxicity.Grammar({"clown$": 2.0})
-    at = lambda t: np.flatnonzero(g.matches(t)).tolist()
+    g = toxicity.Grammar({"clown$": 2.0, "nev": 3.0, "you$": 3.0})
+    at = lambda t: np.flatnonzero(g.matches(t)[:-1]).tolist()
+    threat = toxicity.FLAGS
     assert at("a clown") == [0] and at("you clown") == [1] and at("not a clown") == [2] and at('he said: "clown"') == [4]
-    assert at("you. a clown") == [0] and at("clownish") == [] and at("i will kill you") == [toxicity.FLAGS]
+    assert at("you. a clown") == [0] and at("clownish") == [] and at("i will kill you") == [threat + 1] and at("killing") == [threat]
+    assert at("clown, you") == [1] and at("clown, he said") == [4] and at("never a clown") == [2] and at("you, never a clown, she said") == [7]
+    assert all(at(w) == [threat] for w in "killed kills tötet schlage mataré golpeó tuerai frappe détruit".split())
+
+
+def test_lexicon_weighs_the_longest_stem():
+    rng = random.Random(3)
+    stems = {"".join(rng.choice("ab") for _ in range(rng.randint(1, 5))) + rng.choice(("", "$")): rng.random() for _ in range(40)}
+    lexicon = toxicity.Lexicon(stems)
+    for _ in range(500):
+        word = "".join(rng.choice("abc") for _ in range(rng.randint(0, 7)))
+        known = [s for s in stems if (word + "$").startswith(s)]
+        assert abs(lexicon.weigh(word) - (stems[max(known, key=len)] if known else 0.0)) < 1e-9
+
+
+def test_composition_by_brute_force():
+    """The composed machines give what the cascade gives, and what a look at the whole clause gives."""
+    rng, n = random.Random(4), len(toxicity.SYMBOLS)
+    weighted = toxicity.Transducer({(0, 0): (1, 4, 0.5), (1, 1): (2, 0, 0.25), (2, 5): (0, 1, 1.5), (1, 3): (1, 3, 2.0)})
+    for a in (weighted, toxicity.marking("target", 1), toxicity.FORWARD):
+        for b in (weighted, toxicity.marking("report", 4), toxicity.BACKWARD):
+            both = toxicity.compose(a, b)
+            for _ in range(200):
+                x = [rng.randrange(n) for _ in range(rng.randint(0, 9))]
+                middle, v = a.run(x)
+                out, w = b.run(middle)
+                assert both.run(x)[0] == out and abs(both.run(x)[1] - v - w) < 1e-9
+    for _ in range(2000):
+        x = [rng.choice((0, 1, 2, toxicity.MATCH, toxicity.MATCH + toxicity.FLAGS)) for _ in range(rng.randint(0, 8))]
+        want = [s if s < toxicity.MATCH else s + (0 in x) + 2 * (1 in x[:k]) + 4 * (2 in x) for k, s in enumerate(x)]
+        assert toxicity.marked(x) == want
 
 
 @pytest.mark.parametrize("n, dims", [(700, 16), (3, 4)])
