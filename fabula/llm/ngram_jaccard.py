@@ -317,11 +317,16 @@ def _roots(links: DataFrame) -> DataFrame:
     return components(links).select(F.col("node").alias("id"), "root")
 
 
+def _facts(rows: DataFrame, by_token: DataFrame) -> DataFrame:
+    """rows with what is known of their shingle. Adaptive execution splits the shingles that very many sets hold; for that the facts are a table of their own and the join a merge."""
+    return rows.join(written(by_token, "facts").hint("merge"), "token")
+
+
 def linked(sets: DataFrame, family_bytes: int = FAMILY_BYTES) -> DataFrame:
     """sets: rows of SET with first, one for each set. Returns id, root of sets (by node), at least of those that are linked."""
     tokens = sets.select("node", "first").mapInArrow(releasing(_tokens), "token long, id long")
     least = tokens.groupBy("token").agg(F.min("id").alias("low"), F.max("id").alias("high")).where("low < high").select("token", "low")
-    tokens = written(tokens.join(least, "token"), "tokens")
+    tokens = written(_facts(tokens, least), "tokens")
     # step 3: each set with the leaders of its shingles
     pairs = tokens.where("id <> low").select("id", "low").distinct()
     light = sets.select("node", "n", "shared")
@@ -333,12 +338,12 @@ def linked(sets: DataFrame, family_bytes: int = FAMILY_BYTES) -> DataFrame:
     by_class = held.groupBy("token", "class").agg(F.min("far").alias("far"), F.max(F.col("id") == F.col("low")).alias("leads"))
     rivals = by_class.groupBy("token").agg(F.max(F.when(F.col("leads"), F.col("class"))).alias("own"), F.min(F.when(~F.col("leads"), F.col("far"))).alias("nearest")).where("nearest is not null")
     reach = F.col("nearest") - (1 - NUM / DEN) - 1e-9
-    active = written(held.join(rivals, "token").where((F.col("class") != F.col("own")) | (F.col("far") >= reach)).select("token", "id", "class"), "active")
+    active = written(_facts(held, rivals).where((F.col("class") != F.col("own")) | (F.col("far") >= reach)).select("token", "id", "class"), "active")
     if active.isEmpty():
         return classes
     # step 4: what may still be linked across classes
     low = active.groupBy("token").agg(F.min("id").alias("low"))
-    families = written(_roots(active.join(low, "token").where("id <> low").select(F.col("id").alias("a"), F.col("low").alias("b"))), "families")
+    families = written(_roots(_facts(active, low).where("id <> low").select(F.col("id").alias("a"), F.col("low").alias("b"))), "families")
     known = active.select("id", "class").distinct()
     rows = sets.join(families.join(known, "id").select(F.col("id").alias("node"), F.col("root").alias("family"), "class"), "node")
     blocks = rows.groupBy("family").agg(F.ceil(F.sum(F.octet_length("shared") + F.octet_length("first")) / family_bytes).cast("int").alias("blocks"))
