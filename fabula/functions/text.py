@@ -10,12 +10,6 @@ WORD = r"[\p{L}\p{N}]+(?:['’\-][\p{L}\p{N}]+)*"
 
 # Words after whose full stop a sentence goes on.
 ABBREVIATIONS = ("Dr.", "Mr.", "Mrs.", "Ms.", "Lt.", "Capt.", "Sgt.", "Col.", "Maj.", "Gen.", "St.", "Jr.", "Sr.", "Prof.", "Rev.", "No.", "Cpl.", "Pvt.", "Adm.", "Cmdr.", "Det.", "Insp.", "Supt.")
-# Whole headings that are not plot, words that are not plot, and the pattern of plot headings.
-NONPLOT_HEADINGS = ("future", "legacy", "characters", "format", "style", "impact")
-NONPLOT_WORDS = ("production", "casting", "cast", "music", "broadcast", "ratings", "reception", "awards", "release", "trivia", "references", "notes")
-PLOT_HEADING = r"\b(plot|synopsis|summary|story|storyline|premise|arc|saga)\b|\b(season|series|part|book|volume|chapter)\s+([0-9]+|[ivxlc]+)\b|^(season|series|part|book|volume|chapter|act)\b"
-
-
 def word_count(text: Column) -> Column:
     """Words of a text; null counts as none."""
     return F.coalesce(F.regexp_count(text, F.lit(WORD)), F.lit(0)).cast("long")
@@ -38,18 +32,21 @@ def heading(line: Column) -> Column:
 
 
 def heading_class(h: Column) -> Column:
-    """What a normalised heading is: a whole non-plot heading, a plot heading, or one with a non-plot word; else open."""
-    words = "|".join(sorted(NONPLOT_WORDS, key=lambda w: (-len(w), w)))
-    word = F.regexp_extract(h, rf"\b({words})\b", 1)
-    return F.when(h.isin(*NONPLOT_HEADINGS), F.concat(F.lit("nonplot:"), h)).when(h.rlike(PLOT_HEADING), "plot").when(word != "", F.concat(F.lit("nonplot:"), word)).otherwise("open")
+    """What a normalised heading is: non-plot with the heading or word that says so, a plot heading, or open."""
+    from fabula.functions import sections as S
+
+    return F.when(S.nonplot_word(h).isNotNull(), F.concat(F.lit("nonplot:"), S.nonplot_word(h))).when(S.is_plot_heading(h), "plot").otherwise("open")
+
 
+def nonplot_share(text: Column, cues: str | None = None, separator: str = "\n\n") -> Column:
+    """Share of words in paragraphs with at least two cues and 2.5 of them per 100 words; 0 without words. cues: a pattern, else that of writing about production, broadcast and reception."""
+    from fabula.functions import sections as S
 
-def nonplot_share(text: Column, cues: str, separator: str = "\n\n") -> Column:
-    """Share of words in paragraphs with at least two cues and 2.5 of them per 100 words; 0 without words."""
+    cues = cues or S.cue_pattern()
 
     def add(s: Column, p: Column) -> Column:
         n, hits = word_count(p), F.regexp_count(p, F.lit(cues))
-        return F.struct((s["words"] + n).alias("words"), (s["flagged"] + F.when((hits >= 2) & (hits * 100 >= n * 2.5), n).otherwise(0)).alias("flagged"))
+        return F.struct((s["words"] + n).alias("words"), (s["flagged"] + F.when((hits >= S.LEAST_HITS) & (hits * 100 >= n * S.LEAST_IN_100), n).otherwise(0)).alias("flagged"))
 
     zero = F.struct(F.lit(0).cast("long").alias("words"), F.lit(0).cast("long").alias("flagged"))
     return F.aggregate(F.split(text, separator), zero, add, lambda s: F.when(s["words"] > 0, s["flagged"] / s["words"]).otherwise(0.0))

@@ -5,22 +5,23 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from fabula.sources.scratch import dropped, place, written
 
-def ancestors(edges: DataFrame, depth: int = 64) -> DataFrame:
-    """edges: node, above. All pairs of a node and what is above it, by doubling: after k rounds paths of up to 2**k steps."""
-    out = edges.select("node", "above").distinct()
-    n, reach = out.count(), 1
-    while reach < depth:
-        step = out.select(F.col("node").alias("above"), F.col("above").alias("_next"))
-        out = out.union(out.join(step, "above").select("node", F.col("_next").alias("above"))).distinct()
-        if _durable(out):
-            out = out.checkpoint()  # in the folder that all machines share; cuts the lineage
-        m = out.count()
-        if m == n:
-            break
-        n, reach = m, 2 * reach
-    return out
 
+def below(edges: DataFrame, marked: DataFrame) -> DataFrame:
+    """edges: node, above. marked: node. The nodes (distinct) that have a marked one above them, any number of steps up.
 
-def _durable(df: DataFrame) -> bool:
-    return df.sparkSession.sparkContext._jsc.sc().getCheckpointDir().isDefined()
+    Marks go down one step a round, from those that are new, until none is; so work grows with the nodes reached, not with pairs
+    of node and ancestor. Each round is a written table, so that no plan grows. Cycles end by themselves; nulls reach nothing."""
+    spark = edges.sparkSession
+    edges = edges.where("node is not null and above is not null").select("node", "above").distinct()
+    path = place(spark, "below")
+    new = written(edges.join(marked.select(F.col("node").alias("above")).distinct(), "above", "left_semi").select("node").distinct(), "below", path)
+    out = new
+    while not new.isEmpty():
+        step = edges.join(new.withColumnRenamed("node", "above"), "above", "left_semi").select("node").distinct().join(out, "node", "left_anti")
+        new = written(step, "below", place(spark, "below"))
+        old, path = path, place(spark, "below")
+        out = written(out.union(new), "below", path)
+        dropped(spark, old)
+    return out

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from fabula.functions import classify, gates, intervals
 from fabula.functions.text import word_count
 from fabula.plans.rates import W
+from fabula import vocabulary as V
 from fabula.registry import query
 from fabula.sources.tables import table
 
@@ -226,17 +227,21 @@ def rfc3339_check(spark: SparkSession, sf_dir: str) -> DataFrame:
     return e.select("event_id", "stamp", gates.is_rfc3339(F.col("stamp")).alias("ok"))
 
 
-ROLES = ("system", "assistant", "user")
+#: Turns of a conversation stand for the headings of a series, by role and turn.
+_HEADINGS = list(V.SERIES_HEADINGS)
+_AS_HEADING = f"{_HEADINGS}[(turn * 5 + length(role)) % {len(_HEADINGS) + 3} + 1]"
 
 
 @query(f"""
-    SELECT conv_id, role, turn, place FROM (SELECT conv_id, role, turn, row_number() OVER (PARTITION BY conv_id ORDER BY list_position({list(ROLES)}, role)) AS place
-    FROM (SELECT conv_id, role, min(turn) AS turn FROM conversations WHERE role IN {ROLES} GROUP BY conv_id, role))""")
+    SELECT conv_id, heading, turn, row_number() OVER (PARTITION BY conv_id ORDER BY list_position({_HEADINGS}, heading)) AS place
+    FROM (SELECT conv_id, heading, min(turn) AS turn FROM (SELECT conv_id, turn, {_AS_HEADING} AS heading FROM conversations) WHERE heading IS NOT NULL GROUP BY conv_id, heading)""")
 def heading_priority(spark: SparkSession, sf_dir: str) -> DataFrame:
     """First occurrence of each heading, in order of priority rather than of place."""
-    priority = F.array_position(F.array(*map(F.lit, ROLES)), F.col("role"))
-    c = table(spark, sf_dir, "conversations").where(F.col("role").isin(*ROLES)).groupBy("conv_id", "role").agg(F.min("turn").alias("turn"))
-    return c.select("conv_id", "role", "turn", F.row_number().over(Window.partitionBy("conv_id").orderBy(priority)).cast("long").alias("place"))
+    known = F.array(*map(F.lit, _HEADINGS))
+    heading = F.get(known, ((F.col("turn") * 5 + F.length("role")) % (len(_HEADINGS) + 3)).cast("int"))
+    c = table(spark, sf_dir, "conversations").select("conv_id", "turn", heading.alias("heading")).where("heading is not null").groupBy("conv_id", "heading").agg(F.min("turn").alias("turn"))
+    priority = F.array_position(known, F.col("heading"))
+    return c.select("conv_id", "heading", "turn", F.row_number().over(Window.partitionBy("conv_id").orderBy(priority)).cast("long").alias("place"))
 
 
 @query(f"""

@@ -11,16 +11,16 @@ from fabula.operators import metrics as M
 from fabula.registry import query
 from fabula.sources.tables import table
 
-# The model: good if long, shown with a confidence that follows length; it abstains on one source and lacks a record for some.
+# The model: good if long, shown with a confidence that follows length; it abstains on one source and has no record of texts too short to judge.
 _MODEL = """
     SELECT doc_id, lang, source, n_chars, CASE WHEN source = 'src2' THEN '(abstained)' WHEN n_chars > 1200 THEN 'good' ELSE 'poor' END AS label, (50 + n_chars % 50) / 100 AS confidence, lang <> 'en' AS second
-    FROM documents WHERE doc_id % 13 <> 5"""
+    FROM documents WHERE n_chars >= 100"""
 _GOLD = "SELECT doc_id, CASE WHEN quality = 1 THEN 'good' ELSE 'poor' END AS gold, toxic = 1 AS present FROM labels"
 
 
 def _model(spark: SparkSession, sf_dir: str) -> DataFrame:
     label = F.when(F.col("source") == "src2", "(abstained)").when(F.col("n_chars") > 1200, "good").otherwise("poor")
-    d = table(spark, sf_dir, "documents").where("doc_id % 13 <> 5")
+    d = table(spark, sf_dir, "documents").where("n_chars >= 100")
     return d.select("doc_id", "lang", "source", "n_chars", label.alias("label"), ((F.lit(50) + F.col("n_chars") % 50) / 100).alias("confidence"), (F.col("lang") != "en").alias("second"))
 
 
@@ -143,7 +143,7 @@ def leak_rates(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query(f"""
-    WITH s AS (SELECT * FROM ({_SCORED})), h AS (SELECT count(*) AS n, count(*) FILTER (quality = toxic) AS same FROM labels WHERE doc_id % 3 = 0),
+    WITH s AS (SELECT * FROM ({_SCORED})), h AS (SELECT count(*) AS n, count(*) FILTER (quality = toxic) AS same FROM labels),
     t AS (SELECT count(*) AS total, count(*) FILTER (gold = label) AS correct, count(*) FILTER (label <> '(no model record)') AS scored, count(*) FILTER (confidence >= 0.95 AND label NOT LIKE '(%') AS shown,
         count(*) FILTER (confidence >= 0.95 AND gold = label) AS shown_correct FROM s)
     SELECT total > 0 AND correct * 100 >= total * 85 AS meets_target, h.n >= 20 AND (correct * 100 * h.n >= (same * 100 - 5 * h.n) * total) AS meets_human,
@@ -155,7 +155,7 @@ def exit_gate(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.count("*").alias("total"), F.count_if(F.col("gold") == F.col("label")).alias("correct"), F.count_if(F.col("label") != "(no model record)").alias("scored"),
         F.count_if(confident & ~F.col("label").startswith("(")).alias("shown"), F.count_if(confident & (F.col("gold") == F.col("label"))).alias("shown_correct"),
     )
-    h = table(spark, sf_dir, "labels").where("doc_id % 3 = 0").agg(F.count("*").alias("h_n"), F.count_if(F.col("quality") == F.col("toxic")).alias("same"))
+    h = table(spark, sf_dir, "labels").agg(F.count("*").alias("h_n"), F.count_if(F.col("quality") == F.col("toxic")).alias("same"))
     x = t.join(F.broadcast(h), F.lit(True))  # one row each
     c = F.col
     human = (c("h_n") >= M.LEAST_DOUBLE) & (c("correct") * 100 * c("h_n") >= (c("same") * 100 - M.HUMAN_MARGIN * c("h_n")) * c("total"))

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from fabula import vocabulary as V
 from fabula.operators import ledger as L
 from fabula.registry import query
 from fabula.sources.tables import table
@@ -69,8 +70,8 @@ def response_triage(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "events").select(verdict.alias("verdict"), (refusal | wrong | cut).alias("final")).groupBy("verdict", "final").agg(F.count("*").alias("n"))
 
 
-# Prices per million by kind of event: input, output, cache read.
-PRICES = {"view": (1.0, 5.0, 0.1), "click": (2.0, 10.0, 0.2), "purchase": (4.0, 20.0, 0.2), "signup": (1.0, 5.0, 0.1), "error": (2.0, 10.0, 0.2)}
+# Models by kind of event, and their prices.
+PRICES = {kind: V.PRICES[model] for kind, model in {"view": "small", "click": "medium", "purchase": "large", "signup": "small", "error": "medium"}.items()}
 _PRICES = "(VALUES " + ", ".join(f"('{k}', {a}::DOUBLE, {b}::DOUBLE, {c}::DOUBLE)" for k, (a, b, c) in PRICES.items()) + ") AS p(event_type, usd_in, usd_out, usd_read)"
 
 
@@ -126,11 +127,11 @@ def idempotent_plan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("""
     SELECT CASE WHEN o.o_orderkey IS NULL THEN 'unknown' WHEN r.k IS NULL AND dropped THEN 'dropped' WHEN r.k IS NULL THEN 'missing' WHEN dropped THEN 'late' ELSE 'collected' END AS status, count(*) AS n, coalesce(sum(r.n - 1), 0)::BIGINT AS duplicates
-    FROM (SELECT o_orderkey, o_orderstatus = 'P' AS dropped FROM orders WHERE o_orderkey % 2 = 0) o FULL JOIN (SELECT l_orderkey AS k, count(*) AS n FROM lineitem WHERE l_linenumber = 1 GROUP BY 1) r ON r.k = o.o_orderkey GROUP BY 1""")
+    FROM (SELECT o_orderkey, o_orderstatus = 'P' AS dropped FROM orders) o FULL JOIN (SELECT l_orderkey AS k, count(*) AS n FROM lineitem WHERE l_returnflag = 'R' GROUP BY 1) r ON r.k = o.o_orderkey GROUP BY 1""")
 def batch_reconcile(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Requests against results: duplicates and unknown ids ignored, missing ones retried, results of dropped titles logged as late."""
-    o = table(spark, sf_dir, "orders").where("o_orderkey % 2 = 0").select(F.col("o_orderkey").alias("k"), (F.col("o_orderstatus") == "P").alias("dropped"))
-    r = table(spark, sf_dir, "lineitem").where("l_linenumber = 1").groupBy(F.col("l_orderkey").alias("k")).agg(F.count("*").alias("n"))
+    o = table(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("k"), (F.col("o_orderstatus") == "P").alias("dropped"))
+    r = table(spark, sf_dir, "lineitem").where("l_returnflag = 'R'").groupBy(F.col("l_orderkey").alias("k")).agg(F.count("*").alias("n"))
     x = o.join(r, "k", "full")
     status = F.when(F.col("dropped").isNull(), "unknown").when(F.col("n").isNull() & F.col("dropped"), "dropped").when(F.col("n").isNull(), "missing").when(F.col("dropped"), "late").otherwise("collected")
     return x.select(status.alias("status"), "n").groupBy("status").agg(F.count("*").alias("m"), F.coalesce(F.sum(F.col("n") - 1), F.lit(0)).alias("duplicates")).withColumnRenamed("m", "n")

@@ -17,14 +17,17 @@ from fabula.sources.tables import table
 from fabula.streaming import attempts
 
 
-def _folder(spark: SparkSession, name: str) -> str:
-    """A folder that driver and executors share: the one the cluster names, else one of this machine."""
-    there = spark.sparkContext.getConf().get("spark.checkpoint.dir") or tempfile.gettempdir()
+def folder(spark: SparkSession, name: str) -> str:
+    """A folder that driver and executors share: the one the cluster names, else, in local mode, one of this machine."""
+    there = spark.sparkContext.getConf().get("spark.checkpoint.dir") or spark.conf.get("spark.checkpoint.dir", None)
+    if not there and not spark.sparkContext.master.startswith("local"):
+        raise ValueError("spark.checkpoint.dir must name a folder that driver and executors share")
+    there = there or tempfile.gettempdir()
     return f"{there.rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
 def _file(spark: SparkSession, name: str, text: str) -> str:
-    path = _folder(spark, name)
+    path = folder(spark, name)
     spark.createDataFrame([(text,)], "value string").coalesce(1).write.text(path)
     return path
 
@@ -65,8 +68,8 @@ def plot_load_split(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query(_STATE.replace("SELECT title, attempts, CASE", "SELECT title, attempts::INT AS attempts, CASE"))
 def streaming_attempts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The states of all titles after the stream has run dry: the last one sent of each."""
-    out = _folder(spark, "states")
+    out = folder(spark, "states")
     schema = table(spark, sf_dir, "events").schema.simpleString().removeprefix("struct<").removesuffix(">").replace(":", " ")
-    attempts.run_available(spark, f"{sf_dir}/events.parquet*", schema, _folder(spark, "stream"), out)
+    attempts.run_available(spark, f"{sf_dir}/events.parquet*", schema, folder(spark, "stream"), out)
     s = spark.read.parquet(out)
     return s.groupBy("title").agg(F.max_by(F.struct("attempts", "state"), "epoch").alias("s")).select("title", "s.*")

@@ -5,20 +5,27 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from fabula.functions import sections as S
 from fabula.functions import text as T
 from fabula.plans.rates import _WORD, W
 from fabula.registry import query
 from fabula.sources.tables import table
 
-_WORDS = "|".join(sorted(T.NONPLOT_WORDS, key=lambda w: (-len(w), w)))
 _HEAD = r"regexp_replace(lower(trim(regexp_replace(regexp_replace(line, '<[^>]*>', '', 'g'), '\s+', ' ', 'g'))), '[:.]+$', '')"
-#: Lines that look like headings: the part name and brand, with markup and punctuation around them.
-_PART_LINES = "SELECT p_partkey, '<b>' || p_name || '</b>  ' || CASE p_size % 5 WHEN 0 THEN 'Plot' WHEN 1 THEN 'Cast and crew' WHEN 2 THEN 'Season 3' WHEN 3 THEN 'Legacy' ELSE 'Notes' END || ':' AS line FROM part"
+#: Headings of all kinds, as pages have them.
+_KINDS = (
+    "Plot", "Cast and crew", "Season 3", "Legacy", "Notes", "Home media", "Soundtrack", "Main characters", "Season 5: Revival (2016)", "Part II", "Story and characters", "Future Trunks Saga", "Specials",
+    "Theme song", "Spin-offs", "Episode list", "Opening credits", "Volume 2", "Act one", "Cultural impact", "Themes", "Synopses", "The broadcasters", "Cast away",
+)
+#: Lines that look like headings: the part's name with one of those, in markup and with punctuation; then the heading alone.
+_KIND_SQL = "[" + ", ".join(f"'{k}'" for k in _KINDS) + f"][p_partkey % {len(_KINDS)} + 1]"
+_PART_LINES = f"SELECT p_partkey, '<b>' || p_name || '</b>  ' || {_KIND_SQL} || ':' AS line FROM part"
 
 
-def _part_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    kind = F.element_at(F.array(*map(F.lit, ("Plot", "Cast and crew", "Season 3", "Legacy", "Notes"))), F.col("p_size") % 5 + 1)
-    return table(spark, sf_dir, "part").select("p_partkey", F.concat(F.lit("<b>"), "p_name", F.lit("</b>  "), kind, F.lit(":")).alias("line"))
+def _part_lines(spark: SparkSession, sf_dir: str, name: bool = True) -> DataFrame:
+    kind = F.element_at(F.array(*map(F.lit, _KINDS)), (F.col("p_partkey") % len(_KINDS) + 1).cast("int"))
+    start = F.concat(F.lit("<b>"), "p_name", F.lit("</b>  ")) if name else F.lit("")
+    return table(spark, sf_dir, "part").select("p_partkey", F.concat(start, kind, F.lit(":")).alias("line"))
 
 
 @query(f"SELECT p_partkey, {_HEAD} AS heading FROM ({_PART_LINES})")
@@ -26,31 +33,41 @@ def heading_norm(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _part_lines(spark, sf_dir).select("p_partkey", T.heading(F.col("line")).alias("heading"))
 
 
+_EDGE = "[^a-z0-9_]"
+_SQL_WORD = f"regexp_extract(' ' || h || ' ', '{_EDGE}({S.alternatives(S.NONPLOT_WORDS)}){_EDGE}', 1)"
+_SQL_PLOT = f"regexp_matches(' ' || h || ' ', '{_EDGE}({S.PLOT_WORDS}|({S.NUMBERED})\\s+([0-9]+|[ivxlc]+)){_EDGE}|^ ({S.OPENING}){_EDGE}')"
+
+
 @query(rf"""
     SELECT kind, count(*) AS n FROM (
-        SELECT CASE WHEN h IN {T.NONPLOT_HEADINGS} THEN 'nonplot:' || h WHEN regexp_matches(h, '{T.PLOT_HEADING}') THEN 'plot'
-            WHEN regexp_extract(h, '\b({_WORDS})\b', 1) <> '' THEN 'nonplot:' || regexp_extract(h, '\b({_WORDS})\b', 1) ELSE 'open' END AS kind
-        FROM (SELECT {_HEAD} AS h FROM ({_PART_LINES}) UNION ALL SELECT split_part({_HEAD}, ' ', 3) FROM ({_PART_LINES}))) GROUP BY kind""")
+        SELECT CASE WHEN h IN {S.NONPLOT_HEADINGS} THEN 'nonplot:' || h WHEN {_SQL_PLOT} THEN 'plot' WHEN {_SQL_WORD} <> '' THEN 'nonplot:' || {_SQL_WORD} ELSE 'open' END AS kind
+        FROM (SELECT {_HEAD} AS h FROM ({_PART_LINES}) UNION ALL SELECT {_HEAD} FROM (SELECT {_KIND_SQL} || ':' AS line FROM part))) GROUP BY kind""")
 def heading_class(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Classes of whole headings and of their third words."""
-    h = _part_lines(spark, sf_dir).select(T.heading(F.col("line")).alias("h"))
-    both = h.union(h.select(F.coalesce(F.try_element_at(F.split("h", " "), F.lit(3)), F.lit(""))))
-    return both.select(T.heading_class(F.col("h")).alias("kind")).groupBy("kind").agg(F.count("*").alias("n"))
+    """Classes of headings with and without a name before them."""
+    lines = _part_lines(spark, sf_dir).union(_part_lines(spark, sf_dir, False))
+    return lines.select(T.heading_class(T.heading(F.col("line"))).alias("kind")).groupBy("kind").agg(F.count("*").alias("n"))
 
 
-#: Cue words of this corpus's documents.
-CUES = r"\b(?:and|the|que|des|der)\b"
+#: Common words of this corpus, one by language, that stand for cues: its invented prose has none.
+_AS_CUES = (("the", "aired"), ("que", "produced"), ("der", "critics"), ("une", "directed"))
+_SQL_CUED = "text"
+for _a, _b in _AS_CUES:
+    _SQL_CUED = f"replace({_SQL_CUED}, ' {_a} ', ' {_b} ')"
+# the engine of the SQL knows no look-around: what may stand beside a cue is consumed, after each word border was doubled
+_SQL_HITS = rf"len(regexp_extract_all(' ' || regexp_replace(lower(x), '([^\p{{L}}\p{{N}}_])', '\1\1', 'g') || ' ', '[^\p{{L}}\p{{N}}_](?:{'|'.join(S.CUES).replace(' ', '  ').replace('  ?', '(?:  )?').replace(chr(39), chr(39) * 4).replace('-?', '(?:@@)?').replace('-', '--').replace('@@', '--')})[^\p{{L}}\p{{N}}_]'))"
 
 
 @query(rf"""
     SELECT doc_id, round(CASE WHEN words > 0 THEN flagged / words ELSE 0.0 END, 9) AS share FROM (
         SELECT doc_id, list_sum(list_transform(p, lambda x: len(regexp_extract_all(x, '{_WORD}')))) AS words,
-            list_sum(list_transform(p, lambda x: CASE WHEN len(regexp_extract_all(x, '{CUES}')) >= 2 AND len(regexp_extract_all(x, '{CUES}')) * 100 >= len(regexp_extract_all(x, '{_WORD}')) * 2.5 THEN len(regexp_extract_all(x, '{_WORD}')) ELSE 0 END)) AS flagged
-        FROM (SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS p FROM documents WHERE regexp_full_match(replace(coalesce(text, ''), chr(10), ' '), '[ -~]*')))""")
+            list_sum(list_transform(p, lambda x: CASE WHEN {_SQL_HITS} >= 2 AND {_SQL_HITS} * 100 >= len(regexp_extract_all(x, '{_WORD}')) * 2.5 THEN len(regexp_extract_all(x, '{_WORD}')) ELSE 0 END)) AS flagged
+        FROM (SELECT doc_id, string_split({_SQL_CUED}, chr(10)) AS p FROM (SELECT doc_id, coalesce(text, '') AS text FROM documents)))""")
 def nonplot_share(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Of documents in ASCII (where word borders mean the same in all engines), by line."""
-    docs = table(spark, sf_dir, "documents").select("doc_id", F.coalesce("text", F.lit("")).alias("text")).where(F.col("text").rlike(r"^[ -~\n]*$"))
-    return docs.select("doc_id", F.round(T.nonplot_share(F.col("text"), CUES, "\n"), 9).alias("share"))
+    """Of all documents, by line; some common words stand for cues."""
+    text = F.coalesce("text", F.lit(""))
+    for a, b in _AS_CUES:
+        text = F.replace(text, F.lit(f" {a} "), F.lit(f" {b} "))
+    return table(spark, sf_dir, "documents").select("doc_id", F.round(T.nonplot_share(text, separator="\n"), 9).alias("share"))
 
 
 @query(rf"""
@@ -124,15 +141,18 @@ def nearest_heading(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query(r"""
-    SELECT page_id, kind, start, row_number() OVER (ORDER BY kind, start, page_id) AS place FROM (
-        SELECT page_id, CASE WHEN url LIKE '%.html%' THEN 0 WHEN url LIKE '%?%' THEN 1 WHEN url LIKE '%#%' THEN 2 ELSE 3 END AS kind, coalesce(try_cast(regexp_extract(url, '/([0-9]{1,9})', 1) AS INT), 0) AS start FROM pages)
-    ORDER BY kind, start, page_id LIMIT 100""")
+    SELECT page_id, host, kind, start, row_number() OVER (PARTITION BY host ORDER BY kind, start, page_id) AS place FROM (
+        SELECT page_id, regexp_extract(url, '//([^/]*)', 1) AS host, CASE WHEN url LIKE '%.html%' THEN 0 WHEN url LIKE '%?%' THEN 1 WHEN url LIKE '%#%' THEN 2 ELSE 3 END AS kind, coalesce(try_cast(regexp_extract(url, '/([0-9]{1,9})', 1) AS INT), 0) AS start FROM pages)""")
 def list_page_order(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The first hundred pages by kind of suffix, then number."""
+    """All pages of a host in order of kind of suffix, then number. Hosts are ordered each by itself; counts by kind and number come first, so that a large host's places need no one task."""
     kind = F.when(F.col("url").contains(".html"), 0).when(F.col("url").contains("?"), 1).when(F.col("url").contains("#"), 2).otherwise(3)
-    p = table(spark, sf_dir, "pages").select("page_id", kind.alias("kind"), F.coalesce(F.regexp_extract("url", "/([0-9]{1,9})", 1).try_cast("int"), F.lit(0)).alias("start"))
-    top = p.orderBy("kind", "start", "page_id").limit(100)
-    return top.withColumn("place", F.row_number().over(Window.orderBy("kind", "start", "page_id")).cast("long"))
+    start = F.coalesce(F.regexp_extract("url", "/([0-9]{1,9})", 1).try_cast("int"), F.lit(0))
+    p = table(spark, sf_dir, "pages").select("page_id", F.regexp_extract("url", "//([^/]*)", 1).alias("host"), kind.alias("kind"), start.alias("start"))
+    steps = p.groupBy("host", "kind", "start").agg(F.count("*").alias("n"))
+    before = F.coalesce(F.sum("n").over(Window.partitionBy("host").orderBy("kind", "start").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    steps = steps.select("host", "kind", "start", before.alias("before"))
+    inside = F.row_number().over(Window.partitionBy("host", "kind", "start").orderBy("page_id"))
+    return p.join(steps, ["host", "kind", "start"]).select("page_id", "host", "kind", "start", (F.col("before") + inside).alias("place"))
 
 
 @query(f"SELECT doc_id, {W} AS words, sha256(coalesce(text, '')) AS sha, {W} >= 150 AND length(coalesce(text, '')) = n_chars AS text_ok FROM documents")

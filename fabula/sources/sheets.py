@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from fabula.functions.gates import reasons
+from fabula.vocabulary import PLOTS, TONES
 
 SEEDS = "title string, year string, type string, note string"
 SHEET = "qid string, slot string, labeler string, plot string, arc string, confidence string, tones string"
@@ -34,10 +35,8 @@ def key(c: Column) -> Column:
     return F.regexp_replace(F.lower(F.trim(c)), r"[\s\-]+", "_")
 
 
-# Words of confidence and what they stand for; the names of plots.
+# Words of confidence and what they stand for.
 CONFIDENCE = {"high": 0.95, "medium": 0.8, "low": 0.6, "weak": 0.4}
-PLOTS = ("overcoming_the_monster", "rags_to_riches", "the_quest", "voyage_and_return", "comedy", "tragedy", "rebirth", "rebellion_against_the_one", "mystery")
-TONES = ("tense", "hopeful", "playful", "warm", "eerie", "melancholic", "cerebral", "bleak", "bittersweet", "triumphant")
 
 
 def gold_sheet(spark: SparkSession, path: str) -> DataFrame:

@@ -12,21 +12,20 @@ from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 from fabula.operators.ledger import ATTEMPTS
 
 OUT = "title long, attempts int, state string"
-STATE = "attempts int, ended boolean, last string, seen string"
+STATE = "ids array<bigint>, outcomes array<string>"
 
 
 def _fold(key: tuple, frames: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-    attempts, ended, last, seen = state.get if state.exists else (0, False, "", "")
-    known = set(filter(None, seen.split(",")))
-    for r in pd.concat(list(frames)).sort_values("event_id").itertuples():
-        if str(r.event_id) in known:
-            continue  # delivered before
-        if not ended and attempts < ATTEMPTS:
-            attempts, last, ended = attempts + 1, r.outcome, r.outcome != "retry"
-            known.add(str(r.event_id))
-    state.update((attempts, ended, last, ",".join(sorted(known))))
-    name = {"done": "record", "refused": "failed"}.get(last) or ("exhausted" if attempts >= ATTEMPTS else "open")
-    yield pd.DataFrame({"title": [key[0]], "attempts": [attempts], "state": [name]})
+    """Keeps the ATTEMPTS smallest events of a title, whatever order they come in, and tells the state from them."""
+    known = dict(zip(*state.get, strict=True)) if state.exists else {}
+    for f in frames:
+        known.update(zip(f["event_id"].tolist(), f["outcome"].tolist(), strict=True))  # an event that comes twice is one
+    kept = sorted(known)[:ATTEMPTS]
+    outcomes = [known[k] for k in kept]
+    state.update((kept, outcomes))
+    ended = next((k for k, o in enumerate(outcomes) if o != "retry"), len(outcomes) - 1)
+    name = {"done": "record", "refused": "failed"}.get(outcomes[ended]) or ("exhausted" if len(outcomes) >= ATTEMPTS else "open")
+    yield pd.DataFrame({"title": [key[0]], "attempts": [ended + 1], "state": [name]})
 
 
 def title_states(log: DataFrame) -> DataFrame:

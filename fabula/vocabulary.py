@@ -27,9 +27,6 @@ EXCLUDED_GENRES = (
 )
 NON_NARRATIVE = ("Q3109770", "Q41403")
 
-# Order of regional languages.
-REGIONAL = ("tamil", "malayalam", "telugu", "hindi", "korean", "japanese")
-INDIAN = ("tamil", "malayalam", "telugu", "hindi")
 
 # Plot headings by priority.
 FILM_HEADINGS = ("plot", "plot summary", "synopsis", "story", "storyline", "plot overview", "summary", "premise")
@@ -37,13 +34,6 @@ SERIES_HEADINGS = ("plot", "synopsis", "plot summary", "series overview", "seaso
 
 # Labels.
 PLOTS = ("overcoming_the_monster", "rags_to_riches", "the_quest", "voyage_and_return", "comedy", "tragedy", "rebirth", "rebellion_against_the_one", "mystery")
-BLUEPRINTS = ("heros_journey", "heroines_journey", "anti_hero_descent", "no_clear_blueprint")
-STAGES = (
-    "ordinary_world", "call_to_adventure", "refusal_of_the_call", "meeting_with_the_mentor", "crossing_the_first_threshold", "tests_allies_enemies",
-    "approach_to_the_inmost_cave", "ordeal", "reward", "the_road_back", "resurrection", "return_with_the_elixir",
-)
-ARCS = ("rags_to_riches", "riches_to_rags", "man_in_a_hole", "icarus", "cinderella", "oedipus")
-TAGS = ("mentor_dies", "twist_ending", "unreliable_narrator", "found_family", "redemption_arc", "pyrrhic_victory", "time_loop", "heist_structure", "ensemble_convergence", "ambiguous_ending")
 TONES = ("tense", "hopeful", "playful", "warm", "eerie", "melancholic", "cerebral", "bleak", "bittersweet", "triumphant")
 # Spoiler level of terms (none 0, mild 1, major 2) where it is not none.
 SPOILERS = {
