@@ -13,7 +13,8 @@ The tokenizer is that of a tokenizers-library file: NFC, white space to blanks,
 a pattern's matches as words; bytes as characters; merges, the last character of a word
 carrying the end-of-word suffix. Decoding, as no decoder is named, joins tokens by blanks.
 
-Nulls and empty texts have no tokens. Rows are independent: repeated rows repeat their result.
+Nulls and empty texts have no tokens. Rows are independent: repeated rows repeat their result, null ids
+stay null, an empty table has no rows, other columns are not read.
 """
 
 from __future__ import annotations
@@ -193,8 +194,8 @@ def loaded(path: str) -> TrieBpe:
 _BLANKS = str.maketrans("\t\n\r", "   ")
 
 
-def encoded(path: str, batches: Iterator[pa.RecordBatch], full: bool, piece: int = 500) -> Iterator[pa.RecordBatch]:
-    bpe = loaded(path)
+def encoded(path: str | None, batches: Iterator[pa.RecordBatch], full: bool, piece: int = 500) -> Iterator[pa.RecordBatch]:
+    bpe = loaded(path or tokenizer_path())
     ids_of: dict[str, bytes] = {"": b""}
     text_of: dict[str, str] = {"": ""}
     words: dict[str, tuple[int, ...]] = {}
@@ -226,8 +227,7 @@ def tokenizer_path() -> str:
 
 
 def trie_bpe(docs: DataFrame, path: str | None = None, full: bool = False) -> DataFrame:
-    """docs: doc_id, text; path: of a tokenizer file on every machine. Digests of ids and decoded text, or with full both themselves."""
-    path = path or tokenizer_path()
+    """docs: doc_id, text; path: of a tokenizer file on every machine, by default the one that is installed there. Digests of ids and decoded text, or with full both themselves."""
     return small_batches(docs).select("doc_id", "text").mapInArrow(releasing(lambda it: encoded(path, it, full)), OUT_FULL if full else OUT)
 
 
