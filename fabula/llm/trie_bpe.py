@@ -34,7 +34,7 @@ from pyspark.sql import DataFrame
 from fabula.llm.memory import releasing, small_batches
 
 #: Entries of a task's caches: encoded stretches between blanks, and token pairs looked at.
-CACHE, PAIRS = 240_000, 300_000
+CACHE, PAIRS = 450_000, 300_000
 OUT = "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string"
 OUT_FULL = "doc_id long, n_tokens long, ids array<int>, decoded string"
 
@@ -54,6 +54,7 @@ class TrieBpe:
         model, self.suffix = spec["model"], spec["model"]["end_of_word_suffix"]
         vocab: dict[str, int] = model["vocab"]
         self.names = {i: t for t, i in vocab.items()} | {t["id"]: t["content"] for t in spec["added_tokens"]}
+        self.by_id = [self.names.get(i, "") for i in range(max(self.names) + 1)]
         self.special = {t["content"]: t["id"] for t in spec["added_tokens"]}
         self.split_special = re.compile("(" + "|".join(map(re.escape, sorted(self.special, key=len, reverse=True))) + ")") if self.special else None
         self.pattern = regex.compile(spec["pre_tokenizer"]["pretokenizers"][0]["pattern"]["Regex"])
@@ -197,24 +198,22 @@ _BLANKS = str.maketrans("\t\n\r", "   ")
 def encoded(path: str | None, batches: Iterator[pa.RecordBatch], full: bool, piece: int = 500) -> Iterator[pa.RecordBatch]:
     bpe = loaded(path or tokenizer_path())
     ids_of: dict[str, bytes] = {"": b""}
-    text_of: dict[str, str] = {"": ""}
     words: dict[str, tuple[int, ...]] = {}
     for whole in batches:
         for k in range(0, whole.num_rows, piece):
             b = whole.slice(k, piece)
             texts = [x.translate(_BLANKS).split(" ") if x else [] for x in b.column("text").to_pylist()]
             if len(ids_of) > CACHE:
-                ids_of, text_of, words = {"": b""}, {"": ""}, {}
-            new = sorted(set().union(*texts).difference(ids_of))
-            for s, ids in bpe.encode_stretches(new, words):
+                ids_of, words = {"": b""}, {}
+            for s, ids in bpe.encode_stretches(sorted(set().union(*texts).difference(ids_of)), words):
                 ids_of[s] = struct.pack(f"<{len(ids)}I", *ids)
-                text_of[s] = " ".join([bpe.names[i] for i in ids]) + " " if ids else ""
             count, one, two = [], [], []
             for t in texts:
                 raw = b"".join(map(ids_of.__getitem__, t))
-                text = "".join(map(text_of.__getitem__, t))[:-1]
-                count.append(len(raw) // 4)
-                one.append(list(struct.unpack(f"<{len(raw) // 4}I", raw)) if full else hashlib.sha256(raw).hexdigest())
+                ids = struct.unpack(f"<{len(raw) // 4}I", raw)
+                text = " ".join(map(bpe.by_id.__getitem__, ids))
+                count.append(len(ids))
+                one.append(list(ids) if full else hashlib.sha256(raw).hexdigest())
                 two.append(text if full else hashlib.sha256(text.encode()).hexdigest())
             names = ("ids", "decoded") if full else ("ids_sha256", "decoded_sha256")
             yield pa.record_batch({"doc_id": b.column("doc_id").cast(pa.int64()), "n_tokens": pa.array(count, pa.int64()), names[0]: pa.array(one, pa.list_(pa.int32()) if full else pa.string()), names[1]: pa.array(two, pa.string())})
