@@ -31,3 +31,25 @@ def test_stages(spark):
     assert all(d.columns == docs.columns for d in out[1:5])
     assert out[5].count() == out[4].count() == P.run(spark, SF).count()
     assert out[5].where(F.length("ids_sha256") != 64).count() == 0
+
+
+def test_stages_on_odd_rows(spark):
+    """Nulls in any column, empty and very long texts, repeated rows, clashing columns; and an empty table."""
+    from corpus import SCHEMA, rows
+
+    import corpus_pipeline as P
+    from fabula.llm.scratch import written
+
+    long = " ".join(f"word{k * 7919 % 100_003}" for k in range(60_000))
+    data = rows() + [(900, long, "en", "s1", len(long), 1, None, None, None, None), (None, None, None, None, None, None, None, None, None, None)]
+    docs = spark.createDataFrame(data, SCHEMA)
+    for table in (docs, docs.limit(0)):
+        out = table
+        for name, stage in P.STAGES[:-1]:
+            out = written(stage(spark, out, SF), "odd")
+            assert out.columns == docs.columns, name
+        last = P.STAGES[-1][1](spark, out, SF)
+        assert last.count() == out.count()
+    assert docs.limit(0).count() == 0
+    kept = {r.doc_id for r in written(P.STAGES[1][1](spark, docs, SF), "odd").collect()}
+    assert 900 in kept and None in kept
