@@ -25,3 +25,17 @@ def below(edges: DataFrame, marked: DataFrame) -> DataFrame:
         out = written(out.union(new), "below", path)
         dropped(spark, old)
     return out
+
+
+def ancestors(edges: DataFrame) -> DataFrame:
+    """edges: node, above. All pairs of a node and what is above it, to any depth, by doubling: each round joins the pairs with themselves until none is new. For a class of ancestors ``below`` is cheaper, as pairs may be many."""
+    spark, path = edges.sparkSession, place(edges.sparkSession, "ancestors")
+    out = written(edges.where("node is not null and above is not null").select("node", "above").distinct(), "ancestors", path)
+    n, m = -1, out.count()
+    while m != n:
+        step = out.select(F.col("node").alias("above"), F.col("above").alias("next"))
+        old, path = path, place(spark, "ancestors")
+        out = written(out.union(out.join(step, "above").select("node", F.col("next").alias("above"))).distinct(), "ancestors", path)
+        dropped(spark, old)
+        n, m = m, out.count()
+    return out

@@ -72,3 +72,8 @@ def test_stream_states_do_not_depend_on_file_order(spark, tmp_path):
         attempts.run_available(spark, path, schema, str(tmp_path / f"c{k}"), str(tmp_path / f"s{k}"))
         last = spark.read.parquet(str(tmp_path / f"s{k}")).groupBy("title").agg(F.max_by(F.struct("attempts", "state"), "epoch").alias("x"))
         assert {(r.title, r.x.attempts, r.x.state) for r in last.collect()} == want
+
+
+def test_ancestors_of_a_long_chain(spark):
+    edges = spark.createDataFrame([(k, k - 1) for k in range(1, 101)], "node long, above long")
+    assert graph.ancestors(edges).where("node = 100").count() == 100
