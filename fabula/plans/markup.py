@@ -20,6 +20,11 @@ def html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
 _PARTS = (("Season 1", "the", "walked"), ("Reception", "de", "home"), ("Specials", "que", "aired"), ("Story", "der", "critics"))
 
 
+def _every(k: int):
+    """Lines of one part, by their place."""
+    return lambda x, i: i % (len(_PARTS) + 1) == k
+
+
 @query()
 def section_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Sections built from documents: a lead, then its lines under headings of four kinds, some words standing for cues."""
@@ -28,7 +33,7 @@ def section_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     lines = F.split(F.coalesce("text", F.lit("")), "\n")
     body = F.lit("")
     for k, (name, a, b) in enumerate(_PARTS):
-        mine = F.filter(lines, lambda x, i, k=k: i % (len(_PARTS) + 1) == k + 1)
+        mine = F.filter(lines, _every(k + 1))
         text = F.replace(F.array_join(F.transform(mine, lambda x: F.concat(F.lit("<p>"), x, F.lit("</p>"))), ""), F.lit(f" {a} "), F.lit(f" {b} "))
         body = F.concat(body, F.lit(f'<div class="mw-heading mw-heading3"><h3>{name}</h3></div>'), text)
     lead = F.concat(F.lit('<div class="mw-heading mw-heading2"><h2>Episodes</h2></div><p>'), F.get(lines, F.lit(0)), F.lit("</p>"))
