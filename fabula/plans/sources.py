@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import hashlib
-import json
 import tempfile
 import uuid
 
@@ -32,12 +30,18 @@ def _file(spark: SparkSession, name: str, text: str) -> str:
     return path
 
 
-_SEEDS = "title,year,type,note\nAlpha,1999,movie,\n# a remark,,,\n,2001,movie,blank\nBeta,20x0,tv_series,odd year\n"
+_SEED_ROWS = """
+    SELECT CASE WHEN p_partkey % 10 = 3 THEN '# ' || p_name WHEN p_partkey % 10 = 7 THEN '  ' ELSE p_name || ', part "' || CAST(p_partkey AS VARCHAR(20)) || '"' END AS title,
+        CASE WHEN p_partkey % 6 = 1 THEN '20x0' ELSE CAST(1950 + p_size AS VARCHAR(20)) END AS year, CASE WHEN p_size % 2 = 0 THEN 'movie' ELSE 'tv_series' END AS type, p_brand AS note FROM part"""
 
 
-@query("SELECT * FROM (VALUES ('Alpha', 1999, 'movie'), ('Beta', NULL, 'tv_series')) AS t(title, year, type)")
+@query(f"SELECT title, try_cast(year AS INT) AS year, type FROM ({_SEED_ROWS}) WHERE trim(title) <> '' AND title NOT LIKE '#%'")
 def seed_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return sheets.seeds(spark, _file(spark, "seeds", _SEEDS)).select("title", "year", "type")
+    """A seed file written from the parts, with remarks, blank titles and odd years, as it is read."""
+    table(spark, sf_dir, "part").createOrReplaceTempView("seed_parts")
+    path = folder(spark, "seeds")
+    spark.sql(_SEED_ROWS.replace("FROM part", "FROM seed_parts")).write.option("header", True).option("escape", '"').option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False).csv(path)
+    return sheets.seeds(spark, path).select("title", "year", "type")
 
 
 _ARC = "|".join(["0,5"] * 11)
@@ -57,11 +61,18 @@ def dropdown_pivot(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sheets.dropdowns(spark, {"protagonist": ("single", "dual", "ensemble"), "chronology": ("linear", "in_medias_res")})
 
 
-@query("SELECT * FROM (VALUES ('Q1', 'usable'), ('Q2', 'hash'), ('Q3', 'too_short'), (NULL, 'corrupt')) AS t(qid, result)")
+@query("""
+    SELECT CASE WHEN doc_id % 11 <> 5 AND doc_id % 17 <> 6 THEN 'Q' || doc_id END AS qid, CASE WHEN doc_id % 11 = 5 THEN 'corrupt' WHEN doc_id % 17 = 6 THEN 'no_key' WHEN doc_id % 9 = 4 THEN 'too_short'
+        WHEN coalesce(text, '') = '' THEN 'no_text' WHEN doc_id % 7 = 2 THEN 'hash' ELSE 'usable' END AS result FROM documents""")
 def plot_load_split(spark: SparkSession, sf_dir: str) -> DataFrame:
-    row = lambda q, s, t, h=None: json.dumps({"qid": q, "status": s, "text": t, "content_sha256": h or hashlib.sha256(t.encode()).hexdigest()})
-    text = "\n".join((row("Q1", "ok", "a plot"), row("Q2", "ok", "a plot", "0"), row("Q3", "too_short", "x"), "{broken"))
-    usable, other = sheets.plots(spark, _file(spark, "plots", text))
+    """Plot files written from all documents, some of them broken in one way each, as they are loaded."""
+    d, n = table(spark, sf_dir, "documents"), F.col("doc_id")
+    qid = F.when(n % 17 != 6, F.concat(F.lit("Q"), n.cast("string")))
+    sha = F.when(n % 7 == 2, "0").otherwise(F.sha2(F.coalesce("text", F.lit("")).cast("binary"), 256))
+    row = F.to_json(F.struct(qid.alias("qid"), F.when(n % 9 == 4, "too_short").otherwise("ok").alias("status"), "text", sha.alias("content_sha256")))
+    path = folder(spark, "plots")
+    d.select(F.when(n % 11 == 5, "{broken").otherwise(row).alias("value")).write.text(path)
+    usable, other = sheets.plots(spark, path)
     return usable.select("qid", F.lit("usable").alias("result")).unionByName(other.select("qid", F.col("reason").alias("result")))
 
 

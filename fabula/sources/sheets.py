@@ -21,7 +21,7 @@ def lines(spark: SparkSession, path: str) -> DataFrame:
 
 def seeds(spark: SparkSession, path: str) -> DataFrame:
     """Gold seeds: blank titles and those that begin with # are left out; a byte-order mark is dropped."""
-    df = spark.read.schema(SEEDS).option("header", True).option("encoding", "UTF-8").csv(path)
+    df = spark.read.schema(SEEDS).option("header", True).option("encoding", "UTF-8").option("escape", '"').csv(path)
     title = F.trim(F.regexp_replace("title", "^﻿", ""))
     return df.withColumn("title", title).withColumn("year", F.col("year").try_cast("int")).where((F.col("title") != "") & ~F.col("title").startswith("#"))
 
