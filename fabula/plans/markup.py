@@ -42,9 +42,8 @@ def section_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query(r"""
-    SELECT page_id, row_number() OVER (PARTITION BY page_id ORDER BY k) - 1 AS row, regexp_replace(item, '<[^>]*>', '', 'g') AS cell
-    FROM (SELECT page_id, unnest(regexp_extract_all(html, '<li>(.*?)</li>', 1)) AS item, generate_subscripts(regexp_extract_all(html, '<li>(.*?)</li>', 1), 1) AS k FROM pages)
-    WHERE item NOT LIKE '%&%'""")
+    SELECT page_id, row_number() OVER (PARTITION BY page_id ORDER BY k) - 1 AS row, replace(replace(replace(replace(regexp_replace(item, '<[^>]*>', '', 'g'), '&lt;', '<'), '&gt;', '>'), '&quot;', '"'), '&amp;', '&') AS cell
+    FROM (SELECT page_id, unnest(regexp_extract_all(html, '<li>(.*?)</li>', 1)) AS item, generate_subscripts(regexp_extract_all(html, '<li>(.*?)</li>', 1), 1) AS k FROM pages)""")
 def table_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Rows of lists, one cell each here."""
     spark.udtf.register("table_rows", markup.TableRows)
@@ -53,7 +52,8 @@ def table_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.sql("SELECT page_id, CAST(r.row AS BIGINT) AS row, r.cells[0] AS cell FROM markup_pages, LATERAL table_rows(html) r")
 
 
-@query(r"SELECT doc_id, trim(regexp_replace(regexp_replace(strip_accents(lower(replace(line, '&', ' and '))), '[^\p{L}\p{N}\s]', ' ', 'g'), '\s+', ' ', 'g')) AS title FROM (SELECT doc_id, split_part(coalesce(text, ''), chr(10), 1) AS line FROM documents WHERE lang IN ('en', 'es'))")
+@query(r"SELECT doc_id, trim(regexp_replace(regexp_replace(strip_accents(replace(lower(replace(replace(line, '&', ' and '), '×', 'x')), 'ß', 'ss')), '[^\p{L}\p{N}\s]', ' ', 'g'), '\s+', ' ', 'g')) AS title FROM (SELECT doc_id, split_part(coalesce(text, ''), chr(10), 1) AS line FROM documents)")
 def title_norm(spark: SparkSession, sf_dir: str) -> DataFrame:
-    d = table(spark, sf_dir, "documents").where(F.col("lang").isin("en", "es")).select("doc_id", F.split_part(F.coalesce("text", F.lit("")), F.lit("\n"), F.lit(1)).alias("line"))
+    """First lines of all documents."""
+    d = table(spark, sf_dir, "documents").select("doc_id", F.split_part(F.coalesce("text", F.lit("")), F.lit("\n"), F.lit(1)).alias("line"))
     return d.select("doc_id", markup.normalize_title("line").alias("title"))

@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import json
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -50,31 +48,38 @@ def source_ladder(spark: SparkSession, sf_dir: str) -> DataFrame:
     return g.where("s is not null").select("conv_id", "s.rung", "s.words", (F.col("most") > F.col("s.words")).alias("richer"))
 
 
-_SENTENCES = [
-    (1, "Anna leaves. Note: the episode was filmed in May."), (2, "Timeline: this is set in 1999. Bob waits."), (3, "Carol stays. The show won a BAFTA award. Dan sings."), (4, "Guest star Eve Foe. Fin."),
-    (5, "Gil Hart (in his first appearance of note) runs."), (6, "Music: a theme by Ida. Jo ends it."), (7, "Kim Day and Lee Fox also appear."), (8, "Max has a plan. Ned Orr has a small role as a guard."), (9, "A comedian guest stars as an annoying salesman."),
-    (10, "Toby Jones guest stars as Captain Bell."), (11, "Dr. Fay and J. R. Doe makes her first appearance here."),
-]
+# Paragraphs by kind, with {} for a name: text, plot sentences, rule, and remark.
+_PARAGRAPHS = (
+    ("Anna leaves. Note: the {} was filmed in May.", 1, "note", "Note: the {} was filmed in May."), ("Timeline: the {} is set in 1999. Bob waits.", 0, "timeline", "Timeline: the {} is set in 1999. Bob waits."),
+    ("Carol stays. The {} won a BAFTA award. Dan sings.", 1, "award", "The {} won a BAFTA award. Dan sings."), ("Guest star Eve Foe. The {} ends.", 0, "guest_star", "Guest star Eve Foe. The {} ends."),
+    ("Gil Hart (in his first appearance of note) runs with a {}.", 1, None, None), ("Music: a theme of the {}. Jo ends it.", 0, "music", "Music: a theme of the {}. Jo ends it."),
+    ("Kim Day and Lee Fox also appear as a {}.", 0, "also_appears", "Kim Day and Lee Fox also appear as a {}."), ("Max has a {}. Ned Orr has a small role as a guard.", 1, "small_role", "Ned Orr has a small role as a guard."),
+    ("A comedian guest stars as an annoying {}.", 1, None, None), ("Toby Jones guest stars as Captain {}.", 0, "guest_star", "Toby Jones guest stars as Captain {}."),
+    ("Dr. Fay and J. R. Doe makes her first appearance by a {}.", 0, "first_appearance", "Dr. Fay and J. R. Doe makes her first appearance by a {}."),
+)
+_WANTED = ", ".join(f"({k}, {plot}, " + (f"'{rule}', '{remark}')" if rule else "NULL, NULL)") for k, (_, plot, rule, remark) in enumerate(_PARAGRAPHS))
 
 
-@query("""
-    SELECT * FROM (VALUES (1, 1, 'note', 'Note: the episode was filmed in May.'), (2, 0, 'timeline', 'Timeline: this is set in 1999. Bob waits.'), (3, 1, 'award', 'The show won a BAFTA award. Dan sings.'),
-        (4, 0, 'guest_star', 'Guest star Eve Foe. Fin.'), (5, 1, NULL, NULL), (6, 0, 'music', 'Music: a theme by Ida. Jo ends it.'), (7, 0, 'also_appears', 'Kim Day and Lee Fox also appear.'), (8, 1, 'small_role', 'Ned Orr has a small role as a guard.'),
-        (9, 1, NULL, NULL), (10, 0, 'guest_star', 'Toby Jones guest stars as Captain Bell.'), (11, 0, 'first_appearance', 'Dr. Fay and J. R. Doe makes her first appearance here.')) AS t(id, plot, rule, remark)""")
+@query(f"SELECT p_partkey, plot, rule, replace(remark, '{{}}', p_name) AS remark FROM part JOIN (VALUES {_WANTED}) AS t(k, plot, rule, remark) ON k = p_partkey % {len(_PARAGRAPHS)}")
 def trivia_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Paragraphs of eleven kinds about all parts, split into plot and remark."""
     from fabula.functions.text import sentences
 
-    s = spark.createDataFrame(_SENTENCES, "id int, text string").select("id", R.split_trivia(sentences(F.col("text"))).alias("s"))
-    return s.select("id", F.size("s.plot").alias("plot"), "s.rule", "s.remark")
-
-
-_ANSWER = json.dumps({"results": {"bindings": [{"item": {"value": "http://x/Q1"}, "year": {"value": "1999"}}, {"item": {"value": "http://x/Q22"}}, {"item": {"value": ""}, "year": {"value": "abc"}}]}})
+    kind = F.get(F.array(*[F.lit(p[0]) for p in _PARAGRAPHS]), (F.col("p_partkey") % len(_PARAGRAPHS)).cast("int"))
+    s = table(spark, sf_dir, "part").select("p_partkey", R.split_trivia(sentences(F.replace(kind, F.lit("{}"), F.col("p_name")))).alias("s"))
+    return s.select("p_partkey", F.size("s.plot").alias("plot"), "s.rule", "s.remark")
 
 
-@query("SELECT * FROM (VALUES ('Q1', 1999), ('Q22', NULL), (NULL, NULL)) AS t(qid, year)")
+@query("SELECT p_partkey, 'Q' || p_partkey AS qid, CASE WHEN p_partkey % 3 = 1 THEN 1950 + p_size END AS year FROM part UNION ALL SELECT p_partkey, NULL, 2000 FROM part")
 def sparql_bindings(spark: SparkSession, sf_dir: str) -> DataFrame:
-    a = spark.createDataFrame([(_ANSWER,)], "body string").select(F.inline(R.bindings(F.col("body"), "item", "year")))
-    return a.select(F.substring_index("item", "/", -1).alias("qid"), F.col("year").try_cast("double").cast("int").alias("year"))
+    """Answers in JSON, one for each part: years that are missing or no numbers, items that are empty."""
+    value = lambda c: F.when(c.isNotNull(), F.struct(c.alias("value")))
+    year = F.when(F.col("p_partkey") % 3 == 1, (F.lit(1950) + F.col("p_size")).cast("string")).when(F.col("p_partkey") % 3 == 2, "abc")
+    item = F.concat(F.lit("http://x/Q"), F.col("p_partkey").cast("string"))
+    rows = F.array(F.struct(value(item).alias("item"), value(year).alias("year")), F.struct(value(F.lit("")).alias("item"), value(F.lit("2000")).alias("year")))
+    body = F.to_json(F.struct(F.struct(rows.alias("bindings")).alias("results")))
+    a = table(spark, sf_dir, "part").select("p_partkey", body.alias("body")).select("p_partkey", F.inline(R.bindings(F.col("body"), "item", "year")))
+    return a.select("p_partkey", F.substring_index("item", "/", -1).alias("qid"), F.col("year").try_cast("double").cast("int").alias("year"))
 
 
 @query("""

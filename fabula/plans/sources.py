@@ -24,12 +24,6 @@ def folder(spark: SparkSession, name: str) -> str:
     return f"{there.rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
-def _file(spark: SparkSession, name: str, text: str) -> str:
-    path = folder(spark, name)
-    spark.createDataFrame([(text,)], "value string").coalesce(1).write.text(path)
-    return path
-
-
 _SEED_ROWS = """
     SELECT CASE WHEN p_partkey % 10 = 3 THEN '# ' || p_name WHEN p_partkey % 10 = 7 THEN '  ' ELSE p_name || ', part "' || CAST(p_partkey AS VARCHAR(20)) || '"' END AS title,
         CASE WHEN p_partkey % 6 = 1 THEN '20x0' ELSE CAST(1950 + p_size AS VARCHAR(20)) END AS year, CASE WHEN p_size % 2 = 0 THEN 'movie' ELSE 'tv_series' END AS type, p_brand AS note FROM part"""
@@ -45,15 +39,29 @@ def seed_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 _ARC = "|".join(["0,5"] * 11)
-_SHEET = (
-    "qid,slot,labeler,plot,arc,confidence,tones\n#help,,,,,,\n"
-    f'Q1,1,ann,Comedy,"{_ARC}",High,tense|warm\nQ1,2,bob,The Quest,,medium,warm\nQ2,2,bob,Mystery,,Low,\nX3,1,,Farce,0|1,sure,warm|warm\n'
-)
-
-
-@query("SELECT * FROM (VALUES ('Q1', 1, 0, 'comedy'), ('Q1', 2, 0, 'the_quest'), ('Q2', 2, 1, 'mystery'), ('X3', 1, 6, 'farce')) AS t(qid, slot, errors, plot)")
+# A labelling sheet of the suppliers, two lines a title: some lines break a rule each, some are help.
+_SHEET = {
+    "qid": "CASE WHEN s_suppkey % 37 = 11 THEN '#help' WHEN s_suppkey % 29 = 3 THEN 'X1' ELSE 'Q' || CAST(CAST(floor(s_suppkey / 2) AS INT) AS VARCHAR(20)) END",
+    "slot": "CASE WHEN s_suppkey % 31 = 5 THEN '3' ELSE CAST(s_suppkey % 2 + 1 AS VARCHAR(20)) END", "labeler": "CASE WHEN s_suppkey % 23 = 2 THEN ' ' ELSE s_name END",
+    "plot": "CASE WHEN s_suppkey % 19 = 8 THEN 'Farce' WHEN s_suppkey % 3 = 0 THEN 'Comedy' WHEN s_suppkey % 3 = 1 THEN ' The  Quest' ELSE 'voyage-and-return' END",
+    "arc": f"CASE WHEN s_suppkey % 11 = 1 THEN '0|1' WHEN s_suppkey % 11 = 4 THEN '{_ARC.replace('0,5', '1.5')}' WHEN s_suppkey % 5 < 3 THEN '{_ARC}' ELSE '' END",
+    "confidence": "CASE WHEN s_suppkey % 17 = 4 THEN 'sure' WHEN s_suppkey % 2 = 0 THEN 'High' ELSE ' medium' END", "tones": "CASE WHEN s_suppkey % 13 = 6 THEN 'warm|warm' ELSE 'tense|Warm' END",
+}
+_SHEET_ROWS = "SELECT s_suppkey, " + ", ".join(f"{v} AS {k}" for k, v in _SHEET.items()) + " FROM supplier"
+
+
+@query(rf"""
+    WITH x AS (SELECT * REPLACE (regexp_replace(lower(trim(plot)), '[\s\-]+', '_', 'g') AS plot) FROM ({_SHEET_ROWS}) WHERE qid <> '#help'),
+    y AS (SELECT qid, slot::INT AS slot, plot, list_filter([CASE WHEN qid = 'X1' THEN 'qid' END, CASE WHEN slot = '3' THEN 'slot' END, CASE WHEN labeler = ' ' THEN 'labeler' END, CASE WHEN plot = 'farce' THEN 'plot' END,
+        CASE WHEN arc = '0|1' OR arc LIKE '1.5%' THEN 'arc' END, CASE WHEN confidence = 'sure' THEN 'confidence' END, CASE WHEN tones = 'warm|warm' THEN 'tones' END], lambda v: v IS NOT NULL) AS found FROM x)
+    SELECT qid, slot, plot, array_to_string(CASE WHEN slot = 2 AND qid NOT IN (SELECT qid FROM y WHERE slot = 1 AND len(found) = 0) THEN list_append(found, 'orphan_slot') ELSE found END, ' ') AS errors FROM y""")
 def gold_import(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return sheets.gold_sheet(spark, _file(spark, "sheet", _SHEET)).select("qid", "slot", F.size("errors").alias("errors"), "plot")
+    """A labelling sheet written from the suppliers, as it is imported: all errors of each line."""
+    table(spark, sf_dir, "supplier").createOrReplaceTempView("sheet_suppliers")
+    path = folder(spark, "sheet")
+    rows = spark.sql(_SHEET_ROWS.replace("FROM supplier", "FROM sheet_suppliers")).select(*_SHEET)
+    rows.coalesce(1).write.option("header", True).option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False).csv(path)
+    return sheets.gold_sheet(spark, path).select("qid", "slot", "plot", F.array_join("errors", " ").alias("errors"))
 
 
 @query("SELECT * FROM (VALUES (0, 'single', 'linear'), (1, 'dual', 'in_medias_res'), (2, 'ensemble', NULL)) AS t(place, protagonist, chronology)")

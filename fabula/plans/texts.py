@@ -81,7 +81,7 @@ def sentence_split(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 # Rules of remarks in order: name and pattern on a lower-cased sentence.
-REMARKS = (("note", "^(note|la|le)\\b"), ("music", "^(der|the)\\b"), ("timeline", "^(que|of)\\b"), ("first_appearance", "\\bthat\\b"))
+REMARKS = (("note", "^(note|la|le)($|[^a-z])"), ("music", "^(der|the)($|[^a-z])"), ("timeline", "^(que|of)($|[^a-z])"), ("first_appearance", "(^|[^a-z])that($|[^a-z])"))
 _REMARK = "CASE " + " ".join(f"WHEN regexp_matches(lower(s), '{p}') THEN '{n}'" for n, p in REMARKS) + " END"
 
 
@@ -90,17 +90,17 @@ def _remark(s):
 
 
 @query(rf"""
-    WITH s AS (SELECT conv_id, turn, unnest(list_filter(list_transform(string_split(regexp_replace(text, '([.!?])\s+', '\1' || chr(2), 'g'), chr(2)), lambda x: trim(x)), lambda x: x <> '')) AS s,
-            generate_subscripts(list_filter(list_transform(string_split(regexp_replace(text, '([.!?])\s+', '\1' || chr(2), 'g'), chr(2)), lambda x: trim(x)), lambda x: x <> ''), 1) AS k
-        FROM conversations WHERE regexp_full_match(replace(text, chr(10), ' '), '[ -~]*')),
+    WITH s AS (SELECT conv_id, turn, unnest(list_filter(list_transform(string_split(regexp_replace(text, '([.!?])[ \t\r\n]+', '\1' || chr(2), 'g'), chr(2)), lambda x: trim(x)), lambda x: x <> '')) AS s,
+            generate_subscripts(list_filter(list_transform(string_split(regexp_replace(text, '([.!?])[ \t\r\n]+', '\1' || chr(2), 'g'), chr(2)), lambda x: trim(x)), lambda x: x <> ''), 1) AS k
+        FROM conversations WHERE text IS NOT NULL),
     f AS (SELECT conv_id, turn, k, {_REMARK} AS rule FROM s)
     SELECT rule, count(*) AS items, sum(rest)::BIGINT AS sentences FROM (
         SELECT conv_id, turn, arg_min(rule, k) FILTER (rule IS NOT NULL) AS rule, max(k) - min(k) FILTER (rule IS NOT NULL) + 1 AS rest FROM f GROUP BY conv_id, turn)
     WHERE rule IS NOT NULL GROUP BY rule""")
 def trivia_by_rule(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The first remark of a text takes all that follows it; items and sentences by rule."""
-    t = table(spark, sf_dir, "conversations").where(F.col("text").rlike(r"^[ -~\n]*$"))
-    s = F.filter(F.transform(F.split(F.regexp_replace("text", r"([.!?])\s+", "$1\u0002"), "\u0002"), F.trim), lambda x: x != "")
+    t = table(spark, sf_dir, "conversations").where("text is not null")
+    s = F.filter(F.transform(F.split(F.regexp_replace("text", r"([.!?])[ \t\r\n]+", "$1\u0002"), "\u0002"), F.trim), lambda x: x != "")
     rules = t.select(F.transform(s, _remark).alias("rules"))
     first = F.get(F.filter("rules", lambda r: r.isNotNull()), F.lit(0))
     rest = F.size("rules") - F.array_position(F.col("rules"), first) + 1
