@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from fabula.plans import classes, discovery, evaluation, joins, ledger, markup, ordered, pairs, rates, records, selection, sources, texts  # noqa: F401  each registers its queries
+from fabula.plans import classes, discovery, evaluation, joins, ledger, markup, ordered, pairs, rates, records, selection, sources, storage, texts  # noqa: F401  each registers its queries
 from fabula.registry import ORACLE_SQL, QUERIES
 
 __all__ = ["ORACLE_SQL", "QUERIES"]

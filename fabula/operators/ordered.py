@@ -60,3 +60,19 @@ def lead_block(words: Column, stub: int, ceiling: int, cap: int) -> Column:
         )
 
     return F.aggregate(words, zero, add)
+
+
+# Headings of a section of episodes itself, of its parts, and those that name a season.
+UNHEADED = ("", "episodes", "episode list", "list of episodes")
+PART_HEADING, SEASON_HEADING = r"^part\s+([0-9]{1,2}|[ivx]{1,5})\b", r"^(season|series)\s+[0-9]{1,3}\b"
+
+
+def unheaded_season(tables: DataFrame, page: str, place: str, heading: str, seasons: str) -> DataFrame:
+    """Tables of pages without any heading that names a season, as season 1 in their order: those under the section's own heading
+    or under parts of it. Only where the series is known to have one season, or no number is known: else they may span several.
+    A null heading is an empty one. Pages are decided by a count per page, so only their tables that stay are numbered."""
+    h = F.lower(F.trim(F.coalesce(F.col(heading), F.lit(""))))
+    named = tables.where(h.rlike(SEASON_HEADING)).select(page).distinct()
+    kept = tables.where((h.isin(*UNHEADED) | h.rlike(PART_HEADING)) & (F.coalesce(F.col(seasons), F.lit(1)) == 1)).join(named, page, "left_anti")
+    order = Window.partitionBy(page).orderBy(place)
+    return kept.withColumn("season", F.lit(1)).withColumn("place", F.row_number().over(order).cast("long"))
