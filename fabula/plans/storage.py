@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from fabula.functions import provenance as P
+from fabula.functions import staleness as S
 from fabula.operators import ordered
 from fabula.registry import query
 from fabula.sources.tables import table
@@ -68,3 +69,31 @@ def unheaded_season(spark: SparkSession, sf_dir: str) -> DataFrame:
     seasons = F.when(F.col("conv_id") % 3 != 0, F.col("conv_id") % 3)
     t = table(spark, sf_dir, "conversations").select("conv_id", "turn", F.expr(_HEADING).alias("heading"), seasons.alias("seasons"))
     return ordered.unheaded_season(t, "conv_id", "turn", "heading", "seasons").select("conv_id", "turn", "season", "place")
+
+
+# Plot files of all documents, as JSON: versions, results and evidence vary by id.
+_SKIP = "CASE doc_id % 7 WHEN 0 THEN 'too_short' WHEN 1 THEN 'no_plot_section' WHEN 2 THEN 'season_too_long' WHEN 3 THEN 'fetch_error' END"
+_FILE = f"""
+    SELECT doc_id, to_json(struct(concat('Q', doc_id % 40) AS qid, CASE WHEN doc_id % 7 > 3 THEN 'ok' ELSE 'skipped' END AS status, {_SKIP} AS skip_reason, concat('1.', 2 + doc_id % 4, '.', doc_id % 11) AS fetcher_version,
+        CASE WHEN doc_id % 10 = 3 THEN 'movie' ELSE 'tv_series' END AS media_type, CASE WHEN doc_id % 3 > 0 THEN 'seasons' END AS via, CASE WHEN doc_id % 8 < 4 THEN 'episode_table' END AS via_detail, CAST(doc_id % 600 AS INT) AS word_count,
+        CASE WHEN doc_id % 5 > 0 THEN struct(CASE WHEN doc_id % 5 = 1 THEN 'disabled' WHEN doc_id % 5 = 2 THEN 'used' END AS status, array(struct(CASE WHEN doc_id % 13 = 2 THEN 'main_article_link' ELSE 'statement' END AS basis)) AS evidence,
+            array(struct(CASE WHEN doc_id % 2 = 0 THEN 'List of x episodes' ELSE 'x' END AS title, CASE WHEN doc_id % 9 < 4 THEN 'unverified: y' WHEN doc_id % 9 = 7 THEN 'statement in another item' END AS reason)) AS skipped) END AS season_articles,
+        CASE WHEN doc_id % 3 <> 1 THEN struct(array(struct(CASE WHEN doc_id % 17 = 4 THEN 'main_article_link' END AS basis)) AS evidence) END AS episode_tables,
+        array(struct(concat('S1E1 "Start": Bob waits.', chr(10), chr(10), 'S1E2: ', CASE WHEN doc_id % 19 < 5 THEN 'Music: a song.' ELSE 'Eve sings.' END) AS text)) AS sources)) AS body FROM files"""
+_RUN_RULES = {"Q3": "1.5.4", "Q7": "1.5.7"}
+
+
+@query(f"""
+    WITH f AS (SELECT doc_id, doc_id % 40 AS q, (2 + doc_id % 4) * 100 + doc_id % 11 AS v, doc_id % 7 AS r, doc_id % 10 <> 3 AS tv, doc_id % 5 AS s, doc_id % 3 <> 1 AS tables, doc_id % 7 > 3 AS ok, doc_id % 8 < 4 AS detail FROM documents),
+    g AS (SELECT *, tv AND r < 3 AND s > 1 AS tried FROM f)
+    SELECT doc_id, array_to_string(list_filter([CASE WHEN r = 3 THEN 'fetch_error' END, CASE WHEN v < 400 THEN 'current_ingest' END, CASE WHEN tv AND r < 2 AND s = 0 THEN 'seasons' END, CASE WHEN tried AND v < 500 THEN 'episode_tables' END,
+        CASE WHEN tv AND r <> 3 AND (q = 3 AND v < 504 OR q = 7 AND v < 507) THEN 'run_rule' END, CASE WHEN tried AND v < 502 AND doc_id % 2 = 0 AND doc_id % 9 < 4 THEN 'list_link' END,
+        CASE WHEN q IN (3, 9, 11) AND ok AND tv AND doc_id % 3 = 0 AND doc_id % 600 < 500 AND v < 502 THEN 'richer_text' END,
+        CASE WHEN v < 506 AND (s > 0 AND (doc_id % 13 = 2 OR doc_id % 9 = 7) OR tables AND doc_id % 17 = 4) THEN 'link_hardening' END, CASE WHEN tables AND v >= 505 AND v < CASE q WHEN 7 THEN 507 ELSE 506 END THEN 'year_heading' END,
+        CASE WHEN ok AND detail AND v < 507 THEN 'episode_marker' END, CASE WHEN tables AND v < 508 THEN 'episode_text' END, CASE WHEN q = 5 AND v < 508 THEN 'prefer_episode_text' END,
+        CASE WHEN ok AND detail AND v < 509 AND doc_id % 19 < 5 THEN 'trivia_rules' END], lambda x: x IS NOT NULL), ' ') AS reasons FROM g""")
+def fetch_again(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Why the plot files of all documents are fetched again."""
+    table(spark, sf_dir, "documents").select("doc_id").createOrReplaceTempView("staleness_files")
+    files = spark.sql(_FILE.replace("FROM files", "FROM staleness_files")).select("doc_id", F.from_json("body", S.FILE).alias("f")).select("doc_id", "f.*")
+    return files.select("doc_id", F.array_join(S.fetch_reasons(_RUN_RULES, ("Q3", "Q9", "Q11"), ("Q5",)), " ").alias("reasons"))

@@ -79,3 +79,17 @@ def test_app_tables(spark):
         assert spark.table("app_test.availability").columns == ["title_id", "service", "link", "last_seen", "country"]
     finally:
         spark.sql("DROP DATABASE app_test CASCADE")
+
+
+def test_reasons_to_fetch_again(spark):
+    from fabula.functions import staleness
+
+    # nothing is known, and nothing but a current version is
+    rows = spark.createDataFrame([(None,) * 11, ("Q1", "ok", None, "1.5.9", "tv_series", None, None, 9, None, None, None), ("Q1", "ok", None, "1.x", "movie", None, "episode_table", 9, None, None, [(None,)])], staleness.FILE)
+    got = [r[0] for r in rows.select(staleness.fetch_reasons({}, (), ())).collect()]
+    assert got == [["current_ingest"], [], ["current_ingest", "episode_marker"]]
+    # of two versions the later one counts, by number and not by text
+    file = ("Q1", "ok", None, "1.5.10", "tv_series", "seasons", None, 9, None, None, None)
+    one = spark.createDataFrame([file], staleness.FILE)
+    assert one.select(staleness.fetch_reasons({"Q1": "1.5.12"}, (), ())).first()[0] == ["run_rule"]
+    assert one.select(staleness.fetch_reasons({"Q1": "1.5.9"}, (), ())).first()[0] == []
