@@ -10,6 +10,13 @@ LABELS = {"u": "rags_to_riches", "d": "riches_to_rags", "du": "man_in_a_hole", "
 FIRST, LAST, REDUCED, CAP = 3, 20, 6, 0.49
 
 
+def half_away(x: Column, places: int) -> Column:
+    """x rounded half away from zero, and its sign kept, in binary as SQL engines do: 0.285 is 0.28, as its hundredfold is just under
+    28.5. F.round goes by the shortest decimal digits and has 0.29."""
+    tens = F.lit(10.0**places)
+    return F.signum(x) * F.round(F.abs(x) * tens, 0) / tens
+
+
 def moves(points: Column, tenths: Column) -> Column:
     """Legs as letters u and d: moves of at least the threshold from the last extreme. Differences are rounded to six places."""
     big = lambda d: F.round(d, 6) >= F.round(tenths / 10, 6)

@@ -93,8 +93,8 @@ _POINTS = """
 def _points(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Eleven points for each user with enough events: mean values of eleven equal parts, scaled to -1 to 1."""
     e = table(spark, sf_dir, "events").select("user_id", "value", F.ntile(11).over(Window.partitionBy("user_id").orderBy("event_id")).alias("g"))
-    p = e.groupBy("user_id", "g").agg(F.least(F.lit(1.0), F.greatest(F.lit(-1.0), F.round(F.avg("value"), 6) / 60 - 1)).alias("p"))
-    pts = p.groupBy("user_id").agg(F.array_sort(F.collect_list(F.struct("g", F.round("p", 2).alias("p")))).alias("s"))
+    p = e.groupBy("user_id", "g").agg(F.least(F.lit(1.0), F.greatest(F.lit(-1.0), arc.half_away(F.avg("value"), 6) / 60 - 1)).alias("p"))
+    pts = p.groupBy("user_id").agg(F.array_sort(F.collect_list(F.struct("g", arc.half_away(F.col("p"), 2).alias("p")))).alias("s"))
     return pts.where(F.size("s") == 11).select("user_id", F.transform("s", lambda x: x["p"]).alias("pts"))
 
 
@@ -144,4 +144,4 @@ def arc_agreement(spark: SparkSession, sf_dir: str) -> DataFrame:
     far = F.aggregate(F.zip_with("pts", "pts2", lambda x, y: F.abs(x - y)), F.lit(0.0), lambda s, x: s + x) / 11
     flag = F.when(F.col("a.fallback") | F.col("b.fallback"), "fallback").when(F.col("a.reduced") | F.col("b.reduced"), "reduced").otherwise("unflagged")
     p = a.join(b, "user_id").select(flag.alias("flag"), (F.col("a.label") == F.col("b.label")).alias("same"), far.alias("mad"))
-    return p.groupBy("flag").agg(F.count("*").alias("n"), F.count_if("same").alias("agree"), F.round(F.avg("mad"), 6).alias("mad"))
+    return p.groupBy("flag").agg(F.count("*").alias("n"), F.count_if("same").alias("agree"), arc.half_away(F.avg("mad"), 6).alias("mad"))
