@@ -40,3 +40,14 @@ def test_half_away(spark):
 def test_arc_agreement(spark, halves):
     got, want = both(spark, halves, "arc_agreement")
     assert got == want
+
+
+def test_arc_confidence_cap(spark, tmp_path):
+    """Users whose confidence is capped or not by one point's last digit."""
+    values = [
+        [43.5, 32.7, 77.7, 86.1, 53.1, 61.5, 56.7, 82.5, 71.7, 29.7, 51.3], [54.3, 66.9, 80.1, 50.1, 95.1, 73.5, 35.7, 60.9, 47.7, 77.1, 66.3],
+        [75.9, 74.1, 50.1, 53.7, 42.9, 44.1, 36.9, 56.1, 76.5, 26.1, 55.5], [53.7, 62.1, 59.1, 51.9, 32.1, 57.3, 93.3, 59.1, 50.7, 46.5, 90.9],
+    ]
+    pq.write_table(pa.table({"event_id": np.arange(44), "user_id": np.repeat(np.arange(4), 11), "value": np.ravel(values)}), f"{tmp_path}/events.parquet")
+    got, want = both(spark, str(tmp_path), "arc_confidence_cap")
+    assert got == want and sum(r.endswith("0.49)") for r in got) == 3
