@@ -51,3 +51,8 @@ def test_arc_confidence_cap(spark, tmp_path):
     pq.write_table(pa.table({"event_id": np.arange(44), "user_id": np.repeat(np.arange(4), 11), "value": np.ravel(values)}), f"{tmp_path}/events.parquet")
     got, want = both(spark, str(tmp_path), "arc_confidence_cap")
     assert got == want and sum(r.endswith("0.49)") for r in got) == 3
+
+
+def test_arc_label(spark, halves):
+    got, want = both(spark, halves, "arc_label")
+    assert got == want
