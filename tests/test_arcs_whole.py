@@ -56,3 +56,8 @@ def test_arc_confidence_cap(spark, tmp_path):
 def test_arc_label(spark, halves):
     got, want = both(spark, halves, "arc_label")
     assert got == want
+
+
+def test_arc_moves(spark, halves):
+    got, want = both(spark, halves, "arc_moves")
+    assert got == want
