@@ -61,3 +61,8 @@ def test_arc_label(spark, halves):
 def test_arc_moves(spark, halves):
     got, want = both(spark, halves, "arc_moves")
     assert got == want
+
+
+def test_record_round_trip(spark, halves):
+    got, want = both(spark, halves, "record_round_trip")
+    assert got == want
