@@ -6,12 +6,10 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from fabula import vocabulary as V
+from fabula.operators import similar
 from fabula.registry import query
 from fabula.sources.tables import table
 
-#: Rows of a part of the table that queries are compared with at once.
-PART_ROWS = 1 << 16
-
 #: Spoiler levels of the terms used here.
 LEVELS = {term: V.SPOILERS.get(term, 0) for term in ("mentor_dies", "twist_ending", "found_family", "time_loop")}
 _LEVELS = "(VALUES " + ", ".join(f"('{k}', {v})" for k, v in LEVELS.items()) + ") AS v(term, level)"
@@ -75,14 +73,8 @@ def pair_threshold_check(spark: SparkSession, sf_dir: str) -> DataFrame:
     SELECT query_id, rank, vec_id FROM (SELECT q.vec_id AS query_id, e.vec_id, row_number() OVER (PARTITION BY q.vec_id ORDER BY round({_COSINE.format('q.embedding', 'e.embedding')}, 9) DESC, e.vec_id) AS rank
         FROM embeddings e, (SELECT * FROM embeddings WHERE vec_id % 50 = 0) q WHERE e.vec_id <> q.vec_id) WHERE rank <= 5""")
 def similar_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """More like every fiftieth title: a stated set of queries against all rows, in parts of the table, cut to the best five in each task before the shuffle."""
-    e = table(spark, sf_dir, "embeddings").select("vec_id", "embedding")
-    parts = max(8, -(-e.count() // PART_ROWS))
-    q = e.where("vec_id % 50 = 0").select(F.col("vec_id").alias("query_id"), F.col("embedding").alias("q"), F.explode(F.sequence(F.lit(0), F.lit(parts - 1))).alias("part"))
-    p = e.withColumn("part", F.pmod(F.xxhash64("vec_id"), F.lit(parts)).cast("int")).join(q, "part").where("vec_id <> query_id")
-    p = p.select("query_id", "vec_id", F.round(cosine(F.col("q"), F.col("embedding")), 9).alias("s"))
-    w = Window.partitionBy("query_id").orderBy(F.desc("s"), "vec_id")
-    return p.withColumn("rank", F.row_number().over(w)).where("rank <= 5").select("query_id", F.col("rank").cast("long").alias("rank"), "vec_id")
+    """More like every fiftieth title: a stated set of queries against all rows, exactly."""
+    return similar.most_similar(table(spark, sf_dir, "embeddings"), "vec_id % 50 = 0", 5)
 
 
 @query("""
