@@ -2,7 +2,7 @@
 
 Rows are dealt into parts and queries into blocks by a hash of their id; each pair of a part and a block is one group, and works on
 numbers in place of Column expressions, which take some hundred times as long for each pair of vectors. A product of
-matrices finds what may be among the best; cosines of these are taken anew, summed in the order of the vectors' components, and
+matrices in single precision finds what may be among the best; cosines of these are taken anew, summed in the order of the vectors' components, and
 rounded half away from zero in binary: the numbers that SQL compares. Best answers of the groups meet in a window by query.
 """
 
@@ -14,10 +14,8 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-#: Rows of a part and queries of a block at most, in the mean; rows of a part that are worth a task; parts wanted: so many that queries, a fiftieth of the rows, are not sent more often than rows are; pairs at once.
-PART_ROWS, LEAST_ROWS, PARTS, AT_ONCE = 1 << 16, 1 << 10, 48, 1 << 21
-#: How far a product of matrices may be off, and rounding too.
-SLACK = 1e-8
+#: Rows of a part and queries of a block at most, in the mean; rows of a part that are worth a task; parts wanted: so many that queries, a fiftieth of the rows, are not sent more often than rows are; pairs at once; pairs of which the greatest stands for all.
+PART_ROWS, LEAST_ROWS, PARTS, AT_ONCE, GROUP = 1 << 16, 1 << 10, 48, 1 << 21, 64
 #: Places of what is no number among cosines: first what is NaN, then numbers, then what is null; last the query itself, which is no answer.
 NAN, NULL, SELF = 2.0, -2.0, -3.0
 
@@ -38,7 +36,12 @@ class Vectors:
         self.x = np.ascontiguousarray(x.T)
         self.norm = np.sqrt(dots(self.x, self.x))
         self.odd = ~(np.isfinite(self.norm) & (self.norm > 0))  # no cosine, whatever the other vector
-        self.unit = np.where(self.odd, 0, self.x / np.where(self.odd, 1, self.norm))
+        self.unit = np.where(self.odd, 0, self.x / np.where(self.odd, 1, self.norm)).astype(np.float32)
+
+
+def slack(width: int, places: int) -> float:
+    """Twice what a product of unit vectors in single precision may be off (its terms and eight roundings more), and what rounding makes equal."""
+    return (width + 8) * 2.0**-23 + 2 * 10.0**-places
 
 
 def sizes_of(v: pa.Array | pa.ChunkedArray) -> np.ndarray:
@@ -73,17 +76,24 @@ def best(rows: pa.Table, asked: pa.Table, k: int, places: int) -> pa.Table:
 
 
 def _best(r: Vectors, q: Vectors, at: slice, k: int, places: int) -> tuple[np.ndarray, ...]:
-    ids, size, x, norm = q.id[at], q.size[at], q.x[:, at], q.norm[at]
-    s = q.unit[:, at].T @ r.unit
-    s[:, r.odd] = NAN
-    s[q.odd[at]] = NAN
+    ids, size, x, norm, n = q.id[at], q.size[at], q.x[:, at], q.norm[at], len(r.id)
+    groups = -(-n // GROUP)
+    s = np.full((len(ids), groups * GROUP), SELF, np.float32)
+    s[:, :n] = q.unit[:, at].T @ r.unit
+    s[:, :n][:, r.odd] = NAN
+    s[q.odd[at], :n] = NAN
     if (size != len(x)).any() or (r.size != len(x)).any():
-        s[(size[:, None] != r.size) | (size[:, None] < 0)] = NULL
+        s[:, :n][(size[:, None] != r.size) | (size[:, None] < 0)] = NULL
     own = np.searchsorted(r.id, ids, "left"), np.searchsorted(r.id, ids, "right")
     for j in np.flatnonzero(own[0] < own[1]):
         s[j, own[0][j] : own[1][j]] = SELF
-    kth = max(0, s.shape[1] - k)
-    j, i = np.nonzero(s >= np.partition(s, kth, axis=1)[:, kth, None] - SLACK)
+    grouped = s.reshape(len(ids), GROUP, groups)
+    most = grouped.max(axis=1)
+    # k groups hold a pair of the k-th greatest value at least, so k pairs do
+    least = np.partition(most, groups - k, axis=1)[:, groups - k] - np.float32(slack(len(x), places)) if groups >= k else np.full(len(ids), SELF)
+    j, g = np.nonzero(most >= least[:, None])
+    hit, i = np.nonzero(grouped[j, :, g] >= least[j][:, None])
+    j, i = j[hit], i * groups + g[hit]
     place = s[j, i]
     j, i, place = j[place != SELF], i[place != SELF], place[place != SELF]
     score = half_away(dots(x[:, j], r.x[:, i]) / (norm[j] * r.norm[i]), places)
