@@ -29,7 +29,8 @@ def primary_language(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query(_ARCS + " SELECT user_id, pts AS points, label, CASE WHEN fallback OR reduced THEN least(0.9, 0.49) ELSE 0.9 END::DOUBLE AS confidence FROM a")
 def record_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Points as the model's flat fields, and back into a stored record with its derived arc."""
-    flat = _points(spark, sf_dir).select("user_id", R.flat_points(F.col("pts")).alias("flat"))
+    unsigned = F.transform("pts", lambda x: x + 0.0)  # as SQL's any_value over lists, which makes -0.0 to 0.0
+    flat = _points(spark, sf_dir).select("user_id", R.flat_points(unsigned).alias("flat"))
     s = flat.select("user_id", R.stored_arc(R.points_of(F.col("flat")), F.lit(0.9)).alias("a"))
     return s.select("user_id", "a.points", "a.label", "a.confidence")
 

@@ -66,3 +66,11 @@ def test_arc_moves(spark, halves):
 def test_record_round_trip(spark, halves):
     got, want = both(spark, halves, "record_round_trip")
     assert got == want
+
+
+def test_record_round_trip_zeros(spark, tmp_path):
+    """Points just under zero are stored as zeros without a sign."""
+    value = 60 + 0.1 * np.random.default_rng(6).integers(-5, 6, 40 * 11)
+    pq.write_table(pa.table({"event_id": np.arange(40 * 11), "user_id": np.repeat(np.arange(40), 11), "value": np.round(value, 1)}), f"{tmp_path}/events.parquet")
+    got, want = both(spark, str(tmp_path), "record_round_trip")
+    assert got == want and not any("-0.0," in r or "-0.0]" in r for r in got)
